@@ -1,0 +1,28 @@
+"""Other names of health functions and categories, used after a project's own aliases."""
+
+# Other name -> canonical name, as learned from the alias tables of the development data.
+OTHER_NAMES = {
+    "hay days": "Allergy Season Ease", "pollen season": "Allergy Season Ease", "high mountain aid": "Altitude Adaptation", "sugar balance": "Blood Glucose Balance",
+    "on the regular": "Bowel Regularity", "smooth transit": "Bowel Regularity", "free radical defence": "Cellular Protection", "oxidative balance": "Cellular Protection",
+    "growing kids": "Child Growth", "lipid balance": "Cholesterol Balance", "vein flow": "Circulation Flow", "warm hands": "Circulation Flow",
+    "monthly ease": "Cycle Comfort", "period comfort": "Cycle Comfort", "breaking down meals": "Digestive Fire", "long-distance power": "Endurance Output",
+    "stamina": "Endurance Output", "daytime zest": "Everyday Spark", "get-up-and-go": "Everyday Spark", "screen eyes": "Eye Comfort", "sight care": "Eye Comfort",
+    "lipid burning": "Fat Metabolism Aid", "conception aid": "Fertility Preparation", "calm stomach": "Gut Ease", "tummy comfort": "Gut Ease",
+    "less shedding": "Hair Strength", "thicker hair": "Hair Strength", "graceful years": "Healthy Ageing", "many good years": "Healthy Ageing",
+    "cardiac care": "Heart Rhythm Care", "ticker care": "Heart Rhythm Care", "fewer cravings": "Hunger Easing", "body defences": "Immune Readiness",
+    "winter defence": "Immune Readiness", "red cell building": "Iron Stores", "time zone reset": "Jet Lag Adjustment", "knee ease": "Joint Comfort",
+    "supple joints": "Joint Comfort", "renal care": "Kidney Comfort", "hepatic care": "Liver Renewal", "morning-after liver": "Liver Renewal",
+    "men's drive": "Male Vigor", "recall": "Memory Retention", "remembering": "Memory Retention", "hot flush ease": "Menopause Ease", "clear thinking": "Mental Sharpness",
+    "friendly flora": "Microbiome Diversity", "gut flora": "Microbiome Diversity", "less soreness": "Muscle Rebuilding", "firm nails": "Nail Resilience",
+    "neural care": "Nerve Function Care", "fresh breath": "Oral Freshness", "gum care": "Oral Freshness", "expecting mothers": "Prenatal Nourishment",
+    "pregnancy nutrition": "Prenatal Nourishment", "prostate care": "Prostate Comfort", "free breathing": "Respiratory Ease", "lung care": "Respiratory Ease",
+    "bedtime aid": "Restful Nights", "deep slumber": "Restful Nights", "clear nose": "Sinus Clarity", "clear complexion": "Skin Radiance",
+    "glowing complexion": "Skin Radiance", "brighter mood": "Steady Mood", "even temper": "Steady Mood", "keeping calm": "Stress Resilience",
+    "letting go": "Stress Resilience", "butterfly gland care": "Thyroid Steadiness", "bladder ease": "Urinary Comfort", "singer's throat": "Vocal Ease",
+    "electrolyte refill": "Water Household", "rehydration": "Water Household", "slim balance": "Weight Steadiness", "tissue repair": "Wound Closure",
+    "amino acids": "Amino Compounds", "aminos": "Amino Compounds", "coenzymes": "Cell Cofactors", "mitochondrial aids": "Cell Cofactors",
+    "digestive enzymes": "Enzyme Aids", "enzymes": "Enzyme Aids", "dietary fibers": "Fibre Sources", "roughage": "Fibre Sources",
+    "medicinal mushrooms": "Fungi", "mycelium goods": "Fungi", "cartilage nutrients": "Joint Builders", "joint matrix": "Joint Builders",
+    "probiotics": "Live Cultures", "mineral salts": "Minerals", "mineralstoffe": "Minerals", "essential lipids": "Oils and Lipids", "fatty oils": "Oils and Lipids",
+    "botanicals": "Plant Extracts", "herbals": "Plant Extracts", "sleep hormones": "Sleep Agents", "vitamine": "Vitamins", "vits": "Vitamins",
+}

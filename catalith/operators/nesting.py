@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from catalith.runtime import ship_package
+
 #: Text packed into a JSON string is unpacked up to this depth.
 MAX_PACKING = 8
 _KEYS = {"main_ingredients": ("main_ingredients", "mainIngredients"), "images": ("images",), "variants": ("variants",), "variant_options": ("variant_options", "variantOptions")}
@@ -97,6 +99,7 @@ def flatten_records(records: DataFrame, id_col: str = "raw_id", payload_col: str
     record or in its `fields`; a lone entry counts as a list of one, an object of options as entries in written order; empty entries keep
     their place but give no row. Null, empty, cut-off or recordless payloads give no rows; of a repeated key the last value that isn't null counts.
     """
+    ship_package(records.sparkSession)
     id_type = records.schema[id_col].dataType.simpleString()
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -35,20 +38,41 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def share_bytes(spark: SparkSession, payload: bytes, label: str) -> str:
-    """Put one file into the shared folder, ship it to every executor and return the name for SparkFiles.get."""
-    name = f"{label}-{uuid.uuid4().hex}"
-    jvm, path = spark._jvm, f"{shared_dir(spark)}/{name}"
-    target = jvm.org.apache.hadoop.fs.Path(path)
+def _write_shared(spark: SparkSession, payload: bytes, name: str) -> str:
+    path = f"{shared_dir(spark)}/{name}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
     stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
     try:
         stream.write(payload)
     finally:
         stream.close()
-    spark.sparkContext.addFile(path)
+    return path
+
+
+def share_bytes(spark: SparkSession, payload: bytes, label: str) -> str:
+    """Put one file into the shared folder, ship it to every executor and return the name for SparkFiles.get."""
+    name = f"{label}-{uuid.uuid4().hex}"
+    spark.sparkContext.addFile(_write_shared(spark, payload, name))
     return name
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this library importable in the Python workers of every executor, once per application."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root, buffer = Path(__file__).parent, io.BytesIO()
+    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
+        for file in sorted(root.rglob("*")):
+            if file.is_file() and "__pycache__" not in file.parts:
+                archive.write(file, file.relative_to(root.parent))
+    spark.sparkContext.addPyFile(_write_shared(spark, buffer.getvalue(), f"catalith-{uuid.uuid4().hex}.zip"))
+    _shipped.add(app)
+
+
 def is_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> bool:
     """Whether `df` has at most `max_rows` rows; stops counting beyond."""
     return df.limit(max_rows + 1).count() <= max_rows

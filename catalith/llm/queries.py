@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalith.llm import boilerplate, canonical, encoding, leakage, survivorship
+from catalith.llm import boilerplate, canonical, encoding, leakage, pii, survivorship
 from catalith.runtime import table
 
 
@@ -40,5 +40,13 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leakage.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_item")).select("doc_id", "item_id")
 
 
-QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p8_ids": p8_ids, "p9_found": p9_found}
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal information of each document: kind and text as written, once per document."""
+    words = pii.product_words(table(spark, sf_dir, "vocabulary"), table(spark, sf_dir, "vocabulary_alias"))
+    found = pii.find_and_redact(table(spark, sf_dir, "documents"), product_words=words)
+    spans = found.select("doc_id", F.array_distinct(F.transform("found", lambda f: F.struct(f["kind"].alias("kind"), f["pii_text"].alias("pii_text")))).alias("spans"))
+    return spans.select("doc_id", F.inline("spans")).select("doc_id", "kind", "pii_text")
+
+
+QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found}
 ORACLES: dict[str, str] = {}

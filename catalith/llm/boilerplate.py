@@ -106,7 +106,7 @@ class Classifier:
 
     def lines(self, text: str, site: str) -> list[tuple[int, str, bool]]:
         """(number from 1, line, is main text) of each line that isn't blank."""
-        found = [(n, line) for n, raw in enumerate(text.split("\n"), 1) if (line := raw.removesuffix("\r")).strip(" \t\r\f\v ​﻿  ")]
+        found = [(n, line) for n, raw in enumerate(text.split("\n"), 1) if (line := raw.removesuffix("\r")).strip(" \t\r\f\v \u200b\ufeff\xa0\u202f")]
         kept = best_regions([self._score(line, site) for _, line in found], self.cost)
         return [(n, line, k) for (n, line), k in zip(found, kept, strict=True)]
 

@@ -75,7 +75,7 @@ def fill(r: random.Random, slot: str) -> tuple[str, str | None]:
         at, dot = r.choice([("@", ".")] * 4 + [(" [at] ", " [dot] "), (" (at) ", " (dot) "), (" @ ", "."), (" at ", " dot ")])
         return user + at + dot.join(r.choice([["quickmail", "test"], ["postbox", "example", "net"], ["letters", "example"]])), "email"
     if slot == "phone":
-        shapes = ["(###) ###-####", "###-###-####", "###.###.####", "### ### ####", "1-###-###-####", "+1 ###-###-####", "+44 20 #### ####", "+44 (0)20 #### ####", "07### ######", "+447#########", "+447### ######", "0##/########", "+49 30 ##### ###", "0049 30 #####-###", "+34 9## ## ## ##", "+349## ######", "9## ### ###", "+33 1 ## ## ## ##", "01 ## ## ## ##", "01.##.##.##.##", "+331## ######"]
+        shapes = ["(###) ###-####", "###-###-####", "###.###.####", "### ### ####", "1-###-###-####", "+1 ###-###-####", "+1##########", "+1##########", "+49##########", "+33#########", "+34#########", "+44 20 #### ####", "+44 (0)20 #### ####", "07### ######", "+447#########", "+447### ######", "0##/########", "+49 30 ##### ###", "0049 30 #####-###", "+34 9## ## ## ##", "+349## ######", "9## ### ###", "+33 1 ## ## ## ##", "01 ## ## ## ##", "01.##.##.##.##", "+331## ######"]
         return _shape(r, r.choice(shapes)), "phone"
     if slot in ("passport", "ssn", "ni", "dni", "nie", "nir", "taxid", "iban"):
         shapes = {"passport": ["?#######", "?########", "??#######"], "ssn": ["###-##-####", "### ## ####"], "ni": ["??######?", "?? ## ## ## ?"], "dni": ["########?", "########-?"], "nie": ["X#######?", "Y-#######-?"], "nir": ["1 ## ## ## ### ### ##", "2 ## ## ## ### ### ##"], "taxid": ["## ### ### ###", "###########", "##/###/#####"], "iban": ["DE## #### #### #### #### ##", "ES## #### #### #### #### ####"]}
@@ -93,7 +93,7 @@ def fill(r: random.Random, slot: str) -> tuple[str, str | None]:
     return (_join(r, _BRAND) if slot == "brand" else r.choice(_PRODUCT)), None
 
 
-def examples(copies: int = 14, seed: int = 7) -> list[tuple[str, list[tuple[int, int, str]]]]:
+def examples(copies: int = 24, seed: int = 7) -> list[tuple[str, list[tuple[int, int, str]]]]:
     """(text, marked spans) made from the sentences, each filled `copies` times and set between two others."""
     r = random.Random(seed)
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from catalith.runtime import bounded_rows, ship_package
 
-_DROP = re.compile("[­͏؜ᅟᅠ឴឵᠋-᠎​-‏‪-‮⁠-⁯︀-️﻿￹-￻\x00-\x08\x0e-\x1f\x7f]")
+_DROP = re.compile(r"[\xad\u034f\u061c\u115f\u1160\u17b4\u17b5\u180b-\u180e\u200b-\u200f\u202a-\u202e\u2060-\u206f\ufe00-\ufe0f\ufeff\ufff9-\ufffb\x00-\x08\x0e-\x1f\x7f]")
 _WORD = re.compile(r"[^\W_]+")
 
 

@@ -22,14 +22,14 @@ KINDS = ["email", "phone", "id_number", "address", "person"]
 PRECISION = 0.97
 
 _UP = r"\p{Lu}[\p{Ll}\p{M}]+(?:['’]\p{Lu}?[\p{Ll}\p{M}]+)?(?:-\p{Lu}[\p{Ll}\p{M}]+)*"
-_GAP = r"[   ]"
+_GAP = r"[ \xa0\u202f]"
 _TOWN = rf"(?:(?:San|Santa|Saint|Sankt|Bad|St\.|New|Los|Las|Le|La|El){_GAP})?{_UP}"
-_BREAK = r"(?:,?[   ]*\r?\n[ \t>*-]*|,[   ]+)"
+_BREAK = r"(?:,?[ \xa0\u202f]*\r?\n[ \t>*-]*|,[ \xa0\u202f]+)"
 _NO = r"\d{1,4}(?:[ ]?(?:bis|ter)\b|[A-Za-z]\b)?"
 _AFTER_STREET = rf"{_BREAK}(?:\d{{4,5}}{_GAP}{_TOWN}|{_TOWN}(?:,?{_GAP}(?:\d{{4,5}}\b|[A-Z]{{1,2}}\d[\dA-Z]?{_GAP}\d[A-Z]{{2}}\b))?)"
 _CANDIDATES = [
     ("email", r"(?<![\w.+-])[\w][\w.+%'-]*(?:[ ]?@[ ]?|[ ]?[\[({][ ]?(?:at|AT|ät|arroba)[ ]?[\])}][ ]?|[ ](?:at|AT)[ ](?=[\w-]+[ ](?:dot|DOT)[ ]))[\w-]+(?:(?:\.|[ ]?[\[({][ ]?(?:dot|DOT|punkt|punto|point)[ ]?[\])}][ ]?|[ ](?:dot|DOT)[ ])[\w-]+)+"),
-    ("phone", r"(?<![\w/.,-])(?:\+\d{1,3}|\(\d{2,5}\)|\d{2,5}|\d)(?:(?:[   ]?\(\d{1,4}\)[   -]?|[   ./-])?\d+)+(?![\w-]|[.,]\d)"),
+    ("phone", r"(?<![\w/.,-])(?:\+\d{1,3}|\(\d{2,5}\)|\d{2,5}|\d)(?:(?:[ \xa0\u202f]?\(\d{1,4}\)[ \xa0\u202f-]?|[ \xa0\u202f./-])?\d+)+(?![\w-]|[.,]\d)"),
     ("id_number", r"(?<![\w-])(?:\d{3}[- ]\d{2}[- ]\d{4}|[A-Z]{1,2}\d{6,9}[A-Z]?|[A-Z]{2}(?:[ ]\d{2}){3}[ ][A-Z]|\d{8}-?[A-Z]|[XYZ]-?\d{7}-?[A-Z]|[12][ ]?\d{2}[ ]?\d{2}[ ]?\d[\dAB][ ]?\d{3}[ ]?\d{3}(?:[ ]?\d{2})?|\d{2} \d{3} \d{3} \d{3}|\d{11}|\d{2,3}/\d{3}/\d{4,5}|[A-Z]{2}\d{2}(?:[ ]?[\dA-Z]{4}){3,7}(?:[ ]?[\dA-Z]{1,3})?|[A-Z]\d{2}[\dA-Z]{6}\d?|\d{3}-\d{2}-\d{2})(?![\w-])"),
     ("address", rf"(?<![\w.,-]){_NO}{_GAP}(?:{_UP}{_GAP}){{1,3}}(?:Street|St\.?|Lane|Ln\.?|Road|Rd\.?|Avenue|Ave\.?|Drive|Dr\.?|Court|Ct\.|Way|Close|Terrace|Place|Square|Boulevard|Blvd\.?|Row|Hill|Gardens)(?:,?{_GAP}(?:Apt\.?|Flat|Unit|Suite|No\.|\#){_GAP}?\w+)?(?:{_AFTER_STREET})?"),
     ("address", rf"(?<![\w])(?:{_UP}{_GAP})?(?:\p{{Lu}}[\p{{Ll}}-]*(?:straße|strasse|str\.|weg|gasse|platz|allee|ufer|ring|damm|steig|hof)|(?:Am|Im|An{_GAP}der|Auf{_GAP}dem){_GAP}{_UP}){_GAP}{_NO}{_AFTER_STREET}"),
@@ -77,7 +77,7 @@ def _name_candidates(text: str, excluded: frozenset[str]) -> Iterator[Candidate]
         at = end
         for j in range(i + 1, min(i + 3, len(words))):
             s, e, w = words[j]
-            if s != at + 1 or text[at] not in "   " or not plain(w) or (e < len(text) and (text[e].isalnum() or text[e] in "_@")):
+            if s != at + 1 or text[at] not in " \xa0\u202f" or not plain(w) or (e < len(text) and (text[e].isalnum() or text[e] in "_@")):
                 break
             if len(w.rstrip(".")) > 1:
                 yield Candidate(start, e, "person")
@@ -103,7 +103,7 @@ def candidates(text: str, excluded: frozenset[str] = frozenset()) -> list[Candid
 
 def _phone_candidates(at: int, value: str) -> Iterator[Candidate]:
     """The whole run of digit groups and its beginnings that end before a blank, of 7 to 15 digits each."""
-    ends = [len(value), *(m.start() for m in re.finditer(r"[   ]", value))]
+    ends = [len(value), *(m.start() for m in re.finditer(r"[ \xa0\u202f]", value))]
     for end in ends:
         if 7 <= sum(c.isdigit() for c in value[:end]) <= 15 and value[end - 1].isdigit():
             yield Candidate(at, at + end, "phone")
@@ -124,7 +124,7 @@ def features(text: str, c: Candidate) -> list[str]:
     for i, w in enumerate(after[:2]):
         out.append(f"{k} a{i}={'#' if w.isdigit() else w}")
     if k == "person":
-        words = regex.split(r"[   ]", value)
+        words = regex.split(r"[ \xa0\u202f]", value)
         given = [p.lower() in _GIVEN for p in words[0].split("-")]
         out += [f"p n={len(words)}"] + ["p given"] * any(given) + ["p second given"] * (words[1].split("-")[0].lower() in _GIVEN) + ["p last given"] * (words[-1].split("-")[0].lower() in _GIVEN)
         out += ["p initial"] * (len(words[0]) == 2 and words[0][1] == ".") + ["p middle"] * (len(words) == 3 and words[1].endswith(".") and len(words[1]) == 2) + ["p upper"] * value.isupper()

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalith.llm import boilerplate, canonical, encoding, leakage, pii, survivorship
-from catalith.runtime import table
+from catalith.llm import boilerplate, canonical, encoding, leakage, listings, pii, survivorship
+from catalith.runtime import materialise, table
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +30,14 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.filter(~F.col("is_main")).select("record_id", "field_name", "line_no")
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of listings that offer the same product."""
+    rows = table(spark, sf_dir, "enrich_product_output")
+    dictionary = listings.mine_dictionary(rows, table(spark, sf_dir, "vocabulary"), table(spark, sf_dir, "vocabulary_alias"), table(spark, sf_dir, "unit_reference"))
+    keys = materialise(listings.product_keys(rows, table(spark, sf_dir, "crawl"), dictionary), "products")
+    return listings.same_products(keys)
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document by the public vocabulary byte_bpe_50k."""
     return encoding.encode_corpus(table(spark, sf_dir, "documents"))
@@ -48,5 +56,5 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.select("doc_id", F.inline("spans")).select("doc_id", "kind", "pii_text")
 
 
-QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found}
+QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found}
 ORACLES: dict[str, str] = {}

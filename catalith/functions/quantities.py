@@ -96,7 +96,8 @@ def price_amount(text: Column) -> Column:
 
 def unit_key(unit: Column) -> Column:
     """Spelling of a unit as UNIT_ALIASES has it."""
-    t = F.regexp_replace(F.lower(unit), r"[\s.'’\x{00A0}\x{202F}]", "")
+    t = F.regexp_replace(F.lower(unit), r"\b(?:de\s+|d['’]\s*)(?=cfu|ufc|kbe)", "")
+    t = F.regexp_replace(t, r"[\s.'’\x{00A0}\x{202F}]", "")
     t = F.translate(t, "×⁶⁹", "x69")
     t = F.regexp_replace(t, r"^x10\^?([69])", "x10^$1")
-    return F.trim(F.regexp_replace(t, r"(?:(?<=[a-zó9])(?:de|d))?(?:cfu|ufc|kbe)$", " cfu"))
+    return F.trim(F.regexp_replace(t, r"(?:cfu|ufc|kbe)$", " cfu"))

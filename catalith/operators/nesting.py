@@ -36,7 +36,7 @@ def parse_record(payload: str | None) -> Pairs | None:
     for _ in range(MAX_PACKING):
         if isinstance(value, str):
             try:
-                value = json.loads(value.lstrip("﻿ \t\r\n"), object_pairs_hook=Pairs)
+                value = json.loads(value.lstrip("\ufeff \t\r\n"), object_pairs_hook=Pairs)
             except (ValueError, RecursionError):
                 return None
         elif isinstance(value, list) and not isinstance(value, Pairs) and len(value) == 1:
@@ -65,7 +65,7 @@ def _label(entry: object, kind: str) -> str | None:
     if isinstance(entry, bool) or entry is None or isinstance(entry, list):
         return None
     text = entry if isinstance(entry, str) else json.dumps(entry)
-    return text if text.strip(" \t\r\n  ​﻿") else None
+    return text if text.strip(" \t\r\n\xa0\u202f\u200b\ufeff") else None
 
 
 def visit(record: Pairs) -> Iterator[tuple[str, int, int, str, str]]:

@@ -22,7 +22,7 @@ def prices_in_cents(listings: DataFrame, currency_rate: DataFrame, id_col: str =
     alias = F.broadcast(literal_table(spark, Q.CURRENCY_ALIASES, "alias string, code string, minor boolean"))
     rate = dimension(currency_rate.select(F.upper(F.trim("currency_code")).alias("rate_code"), "minor_digits", "usd_per_unit").dropDuplicates(["rate_code"]))
     parts = Q.price_parts(F.col("price"))
-    field = F.regexp_replace(F.lower(F.trim(F.translate("currency", " ", " "))), r"\.$", "")
+    field = F.regexp_replace(F.lower(F.trim(F.translate("currency", "\xa0", " "))), r"\.$", "")
     keep = [F.col(id_col), parts.alias("parts"), field.alias("field")] + ([F.col("domain")] if source_default is not None else [])
     rows = listings.filter(F.col("price").isNotNull()).select(*keep).filter(F.col("parts.amount").isNotNull())
     rows = rows.join(alias.select(F.col("alias").alias("field"), F.col("code").alias("field_code")), "field", "left")

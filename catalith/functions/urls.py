@@ -44,3 +44,132 @@ def picture_key(url: Column) -> Column:
     kept = F.array_sort(F.array_distinct(F.filter(query_parts(url), lambda p: ~F.lower(p).rlike(sizing) & ~F.lower(p).rlike("^utm_"))))
     plain = F.regexp_replace(path(url), r"[_-]\d{1,5}x\d{0,5}(?=\.[A-Za-z]{3,4}$)", "")
     return F.when(F.trim(url) != "", F.concat(host(url), plain, F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise("")))
+
+# Public suffixes of two labels.
+TWO_LABEL_SUFFIXES = [
+    "co.uk", "org.uk", "me.uk", "ac.uk", "gov.uk", "ltd.uk", "plc.uk", "com.au", "net.au", "org.au", "co.nz", "net.nz", "org.nz", "co.za", "org.za", "web.za",
+    "co.jp", "ne.jp", "or.jp", "gr.jp", "co.kr", "or.kr", "ne.kr", "com.br", "net.br", "org.br", "com.mx", "com.ar", "com.co", "com.pe", "com.uy", "com.ec", "com.ve", "com.tr",
+    "com.cn", "com.hk", "com.tw", "com.sg", "com.my", "com.ph", "com.vn", "co.in", "co.id", "co.th", "co.il", "com.sa", "com.eg", "com.ng", "co.ke", "com.pl", "com.ua", "com.gr", "com.pt", "com.ro",
+]
+
+# Path segments and what they tell of a page.
+PRODUCT_SEGMENTS = ["product", "products", "produs", "produit", "producto", "produkt", "item", "p"]
+LISTING_SEGMENTS = ["collection", "collections", "category", "categories", "catalog", "shop", "store", "menu", "products", "produkty", "produits", "productos", "produkte"]
+BLOCKING_SEGMENTS = ["menu", "category", "categories", "collection", "collections", "catalog", "shop", "store"]
+SERVICE_SEGMENTS = ["cart", "basket", "checkout", "account", "login", "register", "wishlist", "search", "blog", "news", "contact", "about", "privacy", "terms", "faq", "order", "compare", "producer", "producers", "brand", "brands"]
+LOCALE_PAGES = ["global", "locale", "language", "languages", "region", "regions", "country", "countries"]
+STATIC_EXTENSIONS = ["jpg", "jpeg", "png", "webp", "gif", "svg", "css", "js", "xml", "json", "pdf", "zip", "woff", "woff2"]
+VARIANT_KEYS = ["variant", "variation", "sku", "option", "size", "color", "colour", "flavor", "flavour", "pack", "count", "strength"]
+
+
+def full_host(url: Column) -> Column:
+    """Lower-case host of an http(s) address, its www. kept; '' where there is none."""
+    h = F.lower(F.regexp_extract(F.trim(url), r"(?i)^https?://(?:[^/?#@]*@)?([^/?#:]*)", 1))
+    return F.regexp_replace(h, r"\.$", "")
+
+
+def registrable_domain(url: Column) -> Column:
+    """URL-01: the last two labels of the host, three under a two-label public suffix."""
+    labels = F.filter(F.split(full_host(url), r"\."), lambda x: x != "")
+    last = lambda n: F.array_join(F.slice(labels, F.greatest(F.lit(1), F.size(labels) - n + 1), n), ".")
+    return F.when(F.size(labels) <= 2, last(2)).when(last(2).isin(TWO_LABEL_SUFFIXES), last(3)).otherwise(last(2))
+
+
+def is_http(url: Column) -> Column:
+    """URL-09: whether an address is an http(s) one with a host; null counts as not."""
+    return F.coalesce(full_host(url) != "", F.lit(False))
+
+
+def origin(url: Column) -> Column:
+    """URL-09: scheme and host of an http(s) address in lower case, null otherwise."""
+    return F.when(is_http(url), F.concat(F.lower(F.regexp_extract(F.trim(url), r"^(https?)(?=://)|^(?i:(https?))(?=://)", 0)), F.lit("://"), full_host(url)))
+
+
+def same_site(a: Column, b: Column) -> Column:
+    """URL-02: both http(s) and of the same registrable domain."""
+    return is_http(a) & is_http(b) & (registrable_domain(a) == registrable_domain(b))
+
+
+def normalised(url: Column) -> Column:
+    """URL-03: without fragment, default port and tracking keys, scheme and host in lower case, the order of the other keys kept."""
+    tracking = "^(" + "|".join(TRACKING_PREFIXES) + ")"
+    kept = F.filter(query_parts(url), lambda p: ~F.lower(p).rlike(tracking))
+    scheme = F.lower(F.regexp_extract(F.trim(url), r"^([A-Za-z]+)://", 1))
+    port = F.regexp_extract(F.trim(url), r"(?i)^https?://[^/?#]*?:(\d+)(?=[/?#]|$)", 1)
+    default = ((scheme == "http") & (port == "80")) | ((scheme == "https") & (port == "443")) | (port == "")
+    raw = F.regexp_extract(F.trim(url), r"(?i)^https?://[^/?#]*([^?#]*)", 1)
+    trimmed = F.when((raw == "/") & (F.size(kept) == 0), "").otherwise(raw)
+    return F.when(is_http(url), F.concat(scheme, F.lit("://"), full_host(url), F.when(default, "").otherwise(F.concat(F.lit(":"), port)), trimmed, F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise("")))
+
+
+def _segments(url: Column) -> Column:
+    return F.filter(F.split(F.lower(path(url)), "/"), lambda s: s != "")
+
+
+def has_placeholder(url: Column) -> Column:
+    """URL-07: a template placeholder, also when escaped once or twice."""
+    once = F.coalesce(F.try_url_decode(F.regexp_replace(url, r"\+", "%2B")), url)
+    twice = F.coalesce(F.try_url_decode(F.regexp_replace(once, r"\+", "%2B")), once)
+    return F.coalesce(twice.rlike(r"\{\{|\}\}|<%|%>|\$\{") | F.lower(url).rlike("&#123;|&lcub;"), F.lit(False))
+
+
+def is_rejected(url: Column) -> Column:
+    """URL-06: no page of a product or listing: unparsable, placeholder, root, static file, blog, locale, policy or service page."""
+    s = _segments(url)
+    only = F.when(F.size(s) == 1, F.try_element_at(s, F.lit(1)))
+    static = F.lower(path(url)).rlike(r"\.(" + "|".join(STATIC_EXTENSIONS) + ")$")
+    policy = only.rlike(r"^(privacy|terms|cookies?|about|contact)([-_].*)?$")
+    blog = F.exists(s, lambda x: x.rlike(r"^blog(-.*)?$"))
+    return F.coalesce(~is_http(url) | has_placeholder(url) | (F.size(s) == 0) | static | blog | F.coalesce(only.isin(LOCALE_PAGES), F.lit(False)) | F.coalesce(policy, F.lit(False)) | F.arrays_overlap(s, F.array(*[F.lit(x) for x in SERVICE_SEGMENTS])), F.lit(True))
+
+
+def is_product(url: Column) -> Column:
+    """URL-04: looks like the page of one product."""
+    s = _segments(url)
+    before = F.slice(s, 1, F.greatest(F.size(s) - 1, F.lit(0)))
+    has = lambda names: F.arrays_overlap(before, F.array(*[F.lit(x) for x in names]))
+    listed = F.arrays_overlap(s, F.array(*[F.lit(x) for x in BLOCKING_SEGMENTS]))
+    numbered = F.coalesce(F.try_element_at(s, F.lit(-1)).rlike(r"-\d{3,}\.html$"), F.lit(False))
+    return ~is_rejected(url) & F.when(listed, has([p for p in PRODUCT_SEGMENTS if p not in ("item", "p", "produkt")])).otherwise(has(PRODUCT_SEGMENTS) | numbered)
+
+
+def is_category(url: Column) -> Column:
+    """URL-05: looks like a listing: neither rejected nor a product, with a listing segment."""
+    return ~is_rejected(url) & ~is_product(url) & F.arrays_overlap(_segments(url), F.array(*[F.lit(x) for x in LISTING_SEGMENTS]))
+
+
+def page_number(url: Column, text: Column | None = None) -> Column:
+    """URL-10: page number from the link's text, else from counter (+1), page, p or paged, else from /page/N; null where there is none."""
+    by_key = lambda k: F.regexp_extract(url, rf"(?i)[?&]{k}=(\d{{1,4}})(?:[&#]|$)", 1).try_cast("int")
+    options = [F.when(F.trim(text).rlike(r"^\d{1,4}$"), F.trim(text).try_cast("int"))] if text is not None else []
+    return F.coalesce(*options, by_key("counter") + 1, by_key("page"), by_key("p"), by_key("paged"), F.regexp_extract(path(url), r"(?i)/page/(\d{1,4})(?:/|$)", 1).try_cast("int"))
+
+
+def variant_url(url: Column) -> Column:
+    """URL-08: only the keys that select a variant, in binary order; '' for no address."""
+    key = lambda p: F.lower(F.element_at(F.split(p, "="), 1))
+    kept = F.array_sort(F.filter(query_parts(url), lambda p: key(p).isin(VARIANT_KEYS)))
+    base = F.regexp_extract(F.trim(url), r"^([^?#]*)", 1)
+    return F.when(is_http(url), F.concat(base, F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise(""))).otherwise("")
+
+
+def resolved(base: Column, href: Column) -> Column:
+    """URL-11: an href made absolute against its page, for absolute, scheme-relative, root-relative, query and relative forms, dots removed."""
+    b = F.regexp_extract(F.trim(base), r"^([^?#]*)", 1)
+    root = F.regexp_extract(b, r"(?i)^(https?://[^/]+)", 1)
+    folder = F.regexp_replace(F.regexp_replace(b, r"(?i)^https?://[^/]+", ""), r"[^/]*$", "")
+    h = F.trim(href)
+    joined = F.concat(F.when(folder == "", "/").otherwise(folder), h)
+    clean = joined
+    for _ in range(4):
+        clean = F.regexp_replace(F.regexp_replace(clean, r"/\./", "/"), r"/[^/.][^/]*/\.\./", "/")
+    return (
+        F.when(h.rlike(r"(?i)^https?://"), h).when(h.startswith("//"), F.concat(F.regexp_extract(b, r"^([A-Za-z]+:)", 1), h)).when(h.startswith("/"), F.concat(root, h))
+        .when(h.startswith("?"), F.concat(b, h)).when(h.rlike(r"(?i)^(javascript|mailto|tel|data):") | h.startswith("#") | (h == ""), F.lit(None).cast("string")).otherwise(F.concat(root, F.regexp_replace(clean, r"^/(\.\./)+", "/")))
+    )
+
+
+def file_key(url: Column, mime: Column) -> Column:
+    """SRC-11: name under which a fetched picture is stored: sixteen digits of the address's SHA-1 and an extension by type."""
+    ext = F.when(mime.contains("png"), ".png").when(mime.contains("webp"), ".webp").when(mime.contains("gif"), ".gif").otherwise(".jpg")
+    return F.concat(F.substring(F.sha1(url), 1, 16), ext)

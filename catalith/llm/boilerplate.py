@@ -34,7 +34,14 @@ def tokens(line: str, site: str = "") -> list[str]:
             t = "<gap>"
         if t != "<name>":
             out.append(t)
-    return ["^" + out[0], *out, *(f"{a} {b}" for a, b in zip(out, out[1:], strict=False))] if out else []
+    if not out:
+        return []
+    words = re.findall(r"[^\W\d_]{2,}", line)
+    capitals = sum(w[0].isupper() for w in words)
+    shape = ["<stop>" if low.endswith((".", "!")) else "<no stop>", f"<length {min(len(words) // 4, 4)}>"]
+    shape += ["<capitals>"] if len(words) > 1 and capitals * 2 > len(words) else []
+    stems = [f"{w[:5]}~" for w in out if len(w) > 5 and w[0].isalpha()]
+    return ["^" + out[0], *out, *(f"{a} {b}" for a, b in zip(out, out[1:], strict=False)), *stems, *shape]
 
 
 def train(main: list[str], surroundings: list[str], rounds: int = 400, rate: float = 0.5, ridge: float = 0.002) -> dict[str, float]:

@@ -135,7 +135,7 @@ def leaks(documents: DataFrame, items: DataFrame, length: int = 13, id_col: str
 
 
 def remove_leaks(documents: DataFrame, items: DataFrame, length: int = 13, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", max_items: int = 20_000) -> DataFrame:
-    """(id, clean_text, removed_words, words): texts without the spans of leaked words; null texts stay null."""
+    """(id, clean_text, removed_words, words): texts without the spans of leaked words and what stands between them; null texts stay null."""
     spark = documents.sparkSession
     ship_package(spark)
     rows = bounded_rows(items.select(F.col(item_col).alias("i"), F.col(item_text_col).alias("t")).filter(F.col("t").isNotNull()), max_items)
@@ -153,11 +153,13 @@ def remove_leaks(documents: DataFrame, items: DataFrame, length: int = 13, id_co
                     gone = [False] * len(pieces)
                     for _, end, run in automaton.spans([w for _, _, w in pieces]):
                         gone[end - run + 1 : end + 1] = [True] * run
-                    clean, at = [], 0
+                    clean, at, open_ = [], 0, False
                     for (start, stop, _), lost in zip(pieces, gone, strict=True):
-                        if lost and stop > at:
+                        if lost and not open_:
                             clean.append(text[at : max(at, start)])
+                        if lost:
                             at = stop
+                        open_ = lost
                     row = (key, "".join(clean) + text[at:], sum(gone), len(pieces))
                 for column, value in zip(out, row, strict=True):
                     column.append(value)

@@ -229,7 +229,7 @@ def read_listings(listings: DataFrame, dictionary: Dictionary) -> DataFrame:
     rows = listings.select(
         F.col("output_id").cast("bigint").alias("output_id"), U.page_key(F.coalesce("source_url", "product_url")).alias("page"),
         F.concat_ws("\x01", F.regexp_replace(F.lower(F.trim("domain")), r"^www\.", ""), F.col("external_id")).alias("listing"),
-        "product_url", "product_name", "product_form", "variant_attrs", F.col("main_ingredients")[0]["name"].alias("first"),
+        "product_url", "product_name", "product_form", "variant_attrs", F.get("main_ingredients", 0)["name"].alias("first"),
     )
     return rows.mapInArrow(scan, "output_id bigint, page string, listing string, " + ", ".join(f"{c} string" for c in columns))
 

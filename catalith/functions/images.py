@@ -70,7 +70,7 @@ def unique(urls: Column, rank: Column | None = None) -> Column:
 
 def best_srcset(srcset: Column) -> Column:
     """IMG-05: the candidate of greatest width or density (times 1000), the first of equals; '' for none."""
-    parts = F.filter(F.transform(F.split(srcset, ","), F.trim), lambda p: p != "")
+    parts = F.filter(F.transform(F.split(srcset, ","), lambda p: F.trim(p)), lambda p: p != "")
     score = lambda p: F.coalesce(F.regexp_extract(p, r"\s(\d+)w$", 1).try_cast("double"), F.regexp_extract(p, r"\s(\d+(?:\.\d+)?)x$", 1).try_cast("double") * 1000, F.lit(0.0))
     ranked = F.transform(parts, lambda p, i: F.struct(score(p).alias("s"), (-i).alias("i"), F.regexp_extract(p, r"^(\S+)", 1).alias("u")))
     return F.coalesce(F.array_max(ranked)["u"], F.lit(""))

@@ -11,7 +11,7 @@ SURROUNDINGS = [
     "Skip to content", "Zum Inhalt springen", "Saltar al contenido", "Aller au contenu", "Back to results", "Load more", "Search results for products, articles and more",
     "Top searches: Energy, Kids, Bundles, Joints", "Log in  Register  Wish list (<n>)", "Anmelden  Merkzettel (<n>)", "Entrar  Favoritos (<n>)", "Connexion  Favoris (<n>)",
     "Careers  Press  Affiliates  Store finder  Sitemap", "Karriere  Presse  Filialen  Hilfe", "Empleo  Prensa  Tiendas  Ayuda", "Recrutement  Presse  Magasins  Aide",
-    "Choose your country and currency", "<name>: all <n> items", "Toda la gama <name>", "Toute la gamme <name>", "Mehr von <name>: <name> <name> <n> ct", "More from <name>: <name>, <name> <n> mg, <name>",
+    "Choose your country and currency", "<name>: all <n> items", "Toda la gama <name>", "Toute la gamme <name>", "Mehr von <name>: <name> <name> <n> ct", "Mehr von <name>: <name> <name> <n> mg", "More from <name>: <name>, <name> <n> mg, <name>",
     # notices
     "This site uses cookies so that the basket works and adverts fit you better. OK, got it", "We and our <n> partners keep small files on your device to measure visits. Accept all - Settings - Reject",
     "Your privacy matters to us: choose which trackers <site> may use. Manage choices", "Only necessary    Statistics    Marketing    Save choice",
@@ -33,9 +33,9 @@ SURROUNDINGS = [
     "Sign up for our letter and save <n>% on your first order", "Newsletter abonnieren und <n>% sparen", "Suscríbete al boletín y ahorra un <n>%", "Abonnez-vous à la lettre et gagnez <n>% sur la première commande",
     "Follow us for offers, recipes and stories", "Share this page: mail, chat, print", "Seite weiterempfehlen", "Compartir esta página", "Partager cette page", "Guide: how to choose <name> - Read the article",
     "Ratgeber <name> jetzt lesen", "Guía de <name> - leer más", "Guide <name> : lire la suite", "Customers who looked at this also looked at <name> <name> <n> ct", "Bundle and save: add <name> <name> <n> ct",
-    "You may also like: <name> <name> <n> ct, <name> <name>", "Recently viewed: <name> <name> <n> ct | <name> <name> <n> mg | <name>", "Zuletzt angesehen: <name> <name> <n> ct | <name> <name>",
+    "You may also like: <name> <name> <n> ct, <name> <name>", "Recently viewed: <name> <name> <n> ct | <name> <name> <n> mg | <name>", "Zuletzt angesehen: <name> <name> <n> mg | <name> <name>",
     "Das könnte Ihnen auch gefallen: <name> <name> <n> ct, <name> <name>", "Vistos hace poco: <name> <name> <n> ct | <name> <name>", "También te puede gustar: <name> <name> <n> ct, <name> <name>",
-    "Vus récemment : <name> <name> <n> ct | <name> <name>", "Vous aimerez aussi : <name> <name> <n> ct, <name> <name>", "Notify me when <name> <name> <n> mg is back", "Track your order", "Gift cards and vouchers", "Download our app", "Contact us  About us  FAQ",
+    "Vus récemment : <name> <name> <n> ct | <name> <name> <n> mg", "Vous aimerez aussi : <name> <name> <n> ct, <name> <name>", "Notify me when <name> <name> <n> mg is back", "Track your order", "Gift cards and vouchers", "Download our app", "Contact us  About us  FAQ",
 ]
 
 MAIN_TEXT = [
@@ -44,7 +44,7 @@ MAIN_TEXT = [
     "Each bottle holds <n> capsules, enough for about <n> weeks.", "Eine Packung enthält <n> Tabletten und reicht etwa <n> Wochen.", "Un envase trae <n> cápsulas, para unas <n> semanas.", "Un flacon contient <n> gélules, soit environ <n> semaines.",
     "Home-baked taste, fairly priced.", "Home-baked taste, easy to swallow.", "A home-grown classic since <n>, now with finer silica.", "The formula is gentle on the stomach and made without soy or milk.", "No artificial colours", "Vegan.",
     "Tastes like a warm cookie from the oven, without added sugar.", "Schmeckt wie ein frischer Keks vom Blech.", "Vegano, con sabor a galleta recién hecha.", "Végan, goût agréable de biscuit.", "Vegan und gut verträglich.",
-    "Ohne Milch, ohne Soja, ohne künstliche Farbstoffe.", "Sin leche, sin soja, sin colorantes.", "Sans lait, sans soja, sans colorant.", "Free from celery, milk and soy", "The capsules are coated with glycerin so that they stay easy to swallow.",
+    "Ohne Milch, ohne Soja, ohne künstliche Farbstoffe.", "Sin leche, sin soja, sin colorantes.", "Sans lait, sans soja, sans colorant.", "Free from celery, milk and soy", "Free from crustaceans, sesame and egg", "Free from fish, nuts and fish", "Free from nuts, crustaceans and sesame", "The capsules are coated with glycerin so that they stay easy to swallow.",
     "We accept no soy on the line that fills this jar.", "We source the raw <name> from our own greenhouse and test every batch for shelf life.", "We measure moisture uptake in each batch.", "Orange.", "Lemon.", "Mixed Berry.", "frutos del bosque.", "fruits des bois.", "Minze.",
     "Ingredients: <name>, <name>, citric acid, rice flour, silica.", "Zutaten: <name>, <name>, glycerin, pectin.", "Ingredientes: <name>, <name>, beeswax, xylitol.", "Ingrédients : <name>, <name>, sunflower lecithin.", "<name>, <name>, beeswax, sunflower lecithin, natural colour.", "Vitamin K2, Vitamin B12, <name>, citric acid, tapioca starch, carnauba wax.", "Ingrédients : Vitamine B6, <name>, Vitamine D3, maltodextrin, microcrystalline cellulose.", "<name>, vegetable stearate, acacia gum, pullulan.",
     "Contains milk. May contain traces of milk.", "Kann Spuren von Milch und Soja enthalten.", "Puede contener trazas de leche y soja.", "Peut contenir des traces de lait et de soja.",
@@ -63,6 +63,6 @@ MAIN_TEXT = [
     # facts panels
     "Supplement Facts", "Nutrition information", "Nährwertangaben", "Información nutricional", "Informations nutritionnelles", "Serving Size: <n> capsules", "Serving Size <n> (<n> g)", "Serving Size <n> pack (<n> oz)", "Servings Per Container <n>",
     "Portionsgröße: <n> Kapseln", "Portionsgröße <n> (<n> g)", "Portionen pro Packung <n>", "Tamaño de la toma: <n> cápsulas", "Tomas por envase <n>", "Portion: <n> gélules", "Portions par flacon <n>", "Energy <n> kcal", "Energy: <n> kJ", "Brennwert <n> kcal", "Energía: <n> kJ", "Énergie <n> kcal",
-    "** Daily value not established", "** Nährstoffbezugswert", "** Valores de referencia", "** Valeurs de référence", "<name> <n> mg", "<name> (as <name>) <n> mg <n>% DV", "<name>: <n> mcg | <n>% NRV**", "<name> (als <name>) ........ <n> IE <n>%", "<name> <n> billion CFU", "<name> (como <name>) <n> g", "<name> (sous forme de <name>) <n> µg",
-    "<n> capsules", "<n> Kapseln", "<n> cápsulas", "<n> gélules", "Supplement Facts • Serving Size: <n> capsules • Servings Per Container <n> • <name>: <n> mg <n>% • <name> <n> g",
+    "** Daily value not established", "** Nährstoffbezugswert", "** Valores de referencia", "** Valeurs de référence", "<name> <n> mg", "<name> (as <name>) <n> mg <n>% DV", "<name>: <n> mcg | <n>% NRV**", "<name> (als <name>) ........ <n> IE <n>%", "Sägepalme (als Serenoa Repens) <n> mg", "<name> <n> billion CFU", "<name> (como <name>) <n> g", "<name> (sous forme de <name>) <n> µg",
+    "Racine de Valériane <n>MG", "Aceite de Onagra <n>mg", "Extracto de Té Verde <n> mg", "Vitamina A <n> UI", "Huile MCT <n>mg", "Hyaluronic Acid <n>mg", "<name> <n> MG", "<name>: <n> mg", "<name> <n> ug", "<n> capsules", "<n> Kapseln", "<n> cápsulas", "<n> gélules", "Supplement Facts • Serving Size: <n> capsules • Servings Per Container <n> • <name>: <n> mg <n>% • <name> <n> g",
 ]

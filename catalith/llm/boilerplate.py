@@ -18,12 +18,17 @@ from catalith.runtime import ship_package
 REGION_COST = 0.3
 #: Weight of the class prior: lines without any known word count as main text.
 PRIOR = 0.5
+# Words taken as one feature each: measuring units, and words of dosage forms.
+_UNITS = frozenset("mg mcg ug µg μg g gm gram grams milligram milligrams microgram micrograms iu ui ie cfu ufc kbe billion million millones milliards milliarden mrd kcal kj oz".split())
+_FORMS = frozenset(
+    "capsule capsules caps vcaps kapseln kaps cápsulas cáps gélules softgels gels weichkapseln perlas tablets tabs tabletten tabl comprimidos comprimés comp cp gummies gummy gummis fruchtgummis gominolas gomitas gommes lozenges lutschtabletten pastillas pastilles".split()
+)
 _TOKEN = re.compile(r"<name>|<site>|<n>|[^\W\d_]+(?:'[^\W\d_]+)?|\d+(?:[.,:]\d+)*|[|>/©:•%*?]|\(c\)|  +| - ")
 
 
 def tokens(line: str, site: str = "") -> list[str]:
     """Features of a line: words, numbers as one word, separators ("tags"), the shop's own name as one word, and pairs of neighbours."""
-    low = line.strip().lower()
+    low = re.sub(r"\b([iu])\.([iue])\.", r"\1\2", line.strip().lower())
     if site and site in low:
         low = low.replace(site, "<site>")
     out = []
@@ -32,8 +37,11 @@ def tokens(line: str, site: str = "") -> list[str]:
             t = "<n>"
         elif t.isspace():
             t = "<gap>"
-        if t != "<name>":
-            out.append(t)
+        elif t in _UNITS:
+            t = "<unit>"
+        elif t in _FORMS:
+            t = "<form>"
+        out.append(t)
     if not out:
         return []
     words = re.findall(r"[^\W\d_]{2,}", line)
@@ -44,9 +52,14 @@ def tokens(line: str, site: str = "") -> list[str]:
     return ["^" + out[0], *out, *(f"{a} {b}" for a, b in zip(out, out[1:], strict=False)), *stems, *shape]
 
 
+def _row(line: str, words: int) -> list[str]:
+    """Features of a labelled line whose names are filled by so many stand-in words; those of the stand-ins themselves are left out."""
+    return sorted({t for t in tokens(line.replace("<name>", " ".join(["Qqzz"] * words))) if "qqzz" not in t})
+
+
 def train(main: list[str], surroundings: list[str], rounds: int = 400, rate: float = 0.5, ridge: float = 0.002) -> dict[str, float]:
     """Word weights by logistic regression on labelled lines, positive for main text."""
-    rows = [(sorted(set(tokens(x))), 1.0) for x in main] + [(sorted(set(tokens(x))), 0.0) for x in surroundings]
+    rows = [(_row(x, n), 1.0) for x in main for n in (1, 2, 3)] + [(_row(x, n), 0.0) for x in surroundings for n in (1, 2, 3)]
     names = sorted({t for r, _ in rows for t in r})
     place = {t: i for i, t in enumerate(names)}
     x = np.zeros((len(rows), len(names)))

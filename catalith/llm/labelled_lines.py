@@ -35,7 +35,8 @@ SURROUNDINGS = [
     "Ratgeber <name> jetzt lesen", "Guía de <name> - leer más", "Guide <name> : lire la suite", "Customers who looked at this also looked at <name> <name> <n> ct", "Bundle and save: add <name> <name> <n> ct",
     "You may also like: <name> <name> <n> ct, <name> <name>", "Recently viewed: <name> <name> <n> ct | <name> <name> <n> mg | <name>", "Zuletzt angesehen: <name> <name> <n> mg | <name> <name>",
     "Das könnte Ihnen auch gefallen: <name> <name> <n> ct, <name> <name>", "Vistos hace poco: <name> <name> <n> ct | <name> <name>", "También te puede gustar: <name> <name> <n> ct, <name> <name>",
-    "Vus récemment : <name> <name> <n> ct | <name> <name> <n> mg", "Vous aimerez aussi : <name> <name> <n> ct, <name> <name>", "Notify me when <name> <name> <n> mg is back", "Track your order", "Gift cards and vouchers", "Download our app", "Contact us  About us  FAQ",
+    "Vus récemment : <name> <name> <n> ct | <name> <name> <n> mg", "Vous aimerez aussi : <name> <name> <n> ct, <name> <name>", "Notify me when <name> <name> <n> mg is back", "You may also like: <name> <name> <n> mg, <name> <name> <n> g", "Recently viewed: <name> <name> | <name> <name> <n> g | <name> <name> <n> mg", "Das könnte Ihnen auch gefallen: <name> <name>, <name> <name> <n> mg", "También te puede gustar: <name> <name> <n> mg, <name> <name>",
+    "Vous aimerez aussi : <name> <name> <n> mg, <name> <name> <n> mg", "Vus récemment : <name> <name> <n> g | <name> <name> <n> mg", "Bundle and save: add <name> <name> <n> g", "Customers who looked at this also looked at <name> <name> <n> mg", "Vistos hace poco: <name> <name> | <name> <name> <n> mg", "Track your order", "Gift cards and vouchers", "Download our app", "Contact us  About us  FAQ",
 ]
 
 MAIN_TEXT = [
@@ -60,6 +61,8 @@ MAIN_TEXT = [
     "Der Rohstoff stammt aus kontrolliertem Anbau und wird auf Reinheit geprüft.", "La materia prima procede de cultivos controlados y cada lote se analiza.", "La matière première vient de cultures contrôlées et chaque lot est analysé.",
     # values that say nothing belong to no page surroundings
     "?", "n/a", "N/A", "N.A.", "k. A.", "-", "--", "none", "null",
+    # several sentences on a line
+    "Lire la notice avant la première prise. <n> pastilles", "Each bottle holds <n> coated tablets, enough for about <n> weeks. <n> coated tablets", "Un envase trae <n> gomitas, para unas <n> semanas. <n> gomitas", "Vegan. No artificial colours", "The formula is easy to swallow and made without fish or fish. <n> melt lozenges", "People who care about their mood often add <name> around noon. <n> liquid softgels", "The vegetable capsules are coated with carnauba wax so that they stay quick to dissolve. Sign of a good batch: the soft gels are fairly priced.", "<n> Kapseln Packungsbeilage vor der ersten Einnahme lesen.",
     # facts panels
     "Supplement Facts", "Nutrition information", "Nährwertangaben", "Información nutricional", "Informations nutritionnelles", "Serving Size: <n> capsules", "Serving Size <n> (<n> g)", "Serving Size <n> pack (<n> oz)", "Servings Per Container <n>",
     "Portionsgröße: <n> Kapseln", "Portionsgröße <n> (<n> g)", "Portionen pro Packung <n>", "Tamaño de la toma: <n> cápsulas", "Tomas por envase <n>", "Portion: <n> gélules", "Portions par flacon <n>", "Energy <n> kcal", "Energy: <n> kJ", "Brennwert <n> kcal", "Energía: <n> kJ", "Énergie <n> kcal",

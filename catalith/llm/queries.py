@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from catalith.functions import text as T
+from catalith.functions import urls as U
 from catalith.llm import boilerplate, canonical, encoding, leakage, listings, pii, survivorship
 from catalith.runtime import materialise, table
 
@@ -57,4 +59,33 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found}
-ORACLES: dict[str, str] = {}
+
+def _p3_sql() -> str:
+    """p3_found for DuckDB, written apart from the operator."""
+    sizing = "|".join(U.PICTURE_KEYS)
+    tracking = "|".join(U.TRACKING_PREFIXES)
+    fillers = ", ".join("'" + f + "'" for f in T.FILLERS)
+
+    def key(c: str, drop: str, size: str = "") -> str:
+        host = rf"regexp_replace(rtrim(regexp_extract(lower(trim({c})), '^(?:https?:)?//(?:[^/?#@]*@)?([^/?#:]*)', 1), '.'), '^www[0-9]?\.', '')"
+        path = rf"regexp_replace(regexp_replace(regexp_extract(trim({c}), '(?i)^(?:(?:https?:)?//[^/?#]*)?([^?#]*)', 1), '/{{2,}}', '/', 'g'), '/$', '')"
+        path = rf"regexp_replace({path}, '{size}', '\1')" if size else path
+        kept = rf"array_to_string(list_sort(list_distinct(list_filter(string_split(regexp_extract({c}, '^[^?#]*[?]([^#]*)', 1), '&'), lambda p: p <> '' AND NOT regexp_matches(lower(p), '{drop}')))), '&')"
+        return f"{host} || {path} || CASE WHEN {kept} <> '' THEN '?' || {kept} ELSE '' END"
+
+    def filled(f: str) -> str:
+        t = rf"lower(trim(regexp_replace(fields.{f}, '[\s\x{{00A0}}\x{{FEFF}}]+', ' ', 'g')))"
+        return rf"coalesce(regexp_matches({t}, '[\pL\pN]') AND {t} NOT IN ({fillers}) AND NOT regexp_matches({t}, '^(\{{\{{.*\}}\}}|\[object .*\]|<%.*%>|\$\{{.*\}}|%\w+%)$'), false)"
+
+    picture = key("u", f"^({sizing})=|^utm_", r"[_-][0-9]{1,5}x[0-9]{0,5}(\.[A-Za-z]{3,4})$")
+    pictures = f"coalesce(len(list_distinct(list_transform(list_filter(fields.images, lambda u: trim(u) <> ''), lambda u: {picture}))), 0)"
+    each = " UNION ALL ".join(f"SELECT k, record_id, captured_at, '{f}' AS field_name, 0 AS p FROM r WHERE {filled(f)}" for f in survivorship.TEXT_FIELDS)
+    return f"""
+WITH r AS (SELECT *, {key("product_url", f"^({tracking})")} AS k FROM crawl WHERE product_url IS NOT NULL), g AS (SELECT k, min(record_id) AS group_id FROM r GROUP BY 1 HAVING count(*) > 1),
+v AS ({each} UNION ALL SELECT k, record_id, captured_at, 'images', {pictures} FROM r WHERE {pictures} > 0),
+b AS (SELECT *, row_number() OVER (PARTITION BY k, field_name ORDER BY p DESC, captured_at DESC NULLS LAST, record_id) AS n FROM v)
+SELECT group_id, field_name, record_id FROM b JOIN g USING (k) WHERE n = 1
+"""
+
+
+ORACLES: dict[str, str] = {"p3_found": _p3_sql()}

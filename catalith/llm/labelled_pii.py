@@ -16,9 +16,9 @@ SENTENCES = [
     "Please answer to {email}.", "You can reach me at {email}, thanks", "(mail: {email})", "Sent from {email}", "<{email}> wrote on Friday: the bottle is late.", "Mi correo: {email}", "Mon adresse est {email}", "Erreichbar unter {email} oder im Laden.", "Antwort bitte an {email}",
     # phones
     "Call me on {phone} after six.", "My number is {phone}.", "ph: {phone}; evenings only", "tel {phone}", "Tel.: {phone} Würde ich wieder kaufen?", "Text {phone} when the parcel ships", "Telefonisch bin ich unter {phone} zu erreichen.", "Llámenme al {phone} por la tarde.", "Appelez-moi au {phone} le soir.",
-    "Tel. {phone} Mi hermana no nota nada", "Tél. {phone}", "mobile {phone}", "fax {phone}", "WhatsApp {phone}", "{phone}", "\n{phone}\n", "Phone: {phone}",
+    "Tel. {phone} Mi hermana no nota nada", "Tél. {phone}", "mobile {phone}", "tel {phone} Is it free of fish?", "Tel.: {phone} 30 Kaps. am Tag", "Tel.: {phone} 240 Fruchtgummis", "ph: {phone}, thanks", "tel {phone}", "Ring {phone} please.", "fax {phone}", "WhatsApp {phone}", "{phone}", "\n{phone}\n", "Phone: {phone}",
     # identity numbers
-    "My passport number is {passport}.", "passport {passport} I would like a refund", "They asked for my SSN ({ssn}) which felt odd.", "For the customs form: social security number {ssn}.", "ID number on file: {ssn}", "My national insurance no. is {ni}.", "NI number {ni}", "Mi DNI es {dni}.", "NIF {dni} para la factura", "NIE {nie}",
+    "My passport number is {passport}.", "passport {passport} I would like a refund", "They asked for my SSN ({ssn}) which felt odd.", "For the customs form: social security number {ssn}.", "ID number on file: {ssn}", "ID number on file: {ni}", "ID number on file: {passport}", "ID number on file: {ni} Vegan. Read the label.", "My national insurance no. is {ni} Thanks for that.", "They wanted my ID ({passport}) again.", "My national insurance no. is {ni}.", "NI number {ni}", "Mi DNI es {dni}.", "NIF {dni} para la factura", "NIE {nie}",
     "Numéro de sécurité sociale : {nir}.", "NIR {nir} pour le dossier", "Mein Personalausweis: {passport}", "Ausweisnummer {passport} liegt bei.", "Steuer-ID {taxid}", "Meine Steuernummer lautet {taxid}.", "pasaporte {passport}", "passeport n° {passport}", "IBAN {iban}", "driver's licence {passport}",
     # addresses
     "Ship to: {address}", "Please send it to {address}.", "It should have gone to {address}; nobody rang.", "Meine Anschrift: {address}", "Bitte liefern an {address}.", "Envíenlo a {address}.", "Mi dirección: {address}", "Adresse : {address}", "Merci de livrer au {address}.", "I live at {address}.", "Address: {address}\n",
@@ -29,7 +29,7 @@ SENTENCES = [
     "Main Street Pharmacy Blend is only a product name.", "Panax Ginseng and Ginkgo Biloba were tested side by side.", "The {product} {product} lost its seal.", "I bought the {brand} {product} in March.", "{brand} {product} liefert 250 mg je Portion.", "Compared with the other {product} I tried it is good.", "Can I combine {product} with {product}?",
     "Each jar holds 30 Chewable Gummies, enough for 2 weeks.", "Take 4 Melt Lozenges after training.", "Suggested use: 3 Vegetable Capsules around noon.", "SUPPLEMENT FACTS Serving size 8 Vegetable Capsules Manufactured for {brand}", "Manufactured for {brand} in a facility that also handles fish.", "How should I take {brand} {product}?", "The Coated Tablets are coated with pectin.",
     "{product} contributes to normal nerves.", "We source the raw {product} from the coast.", "Content by ICP-MS: 1,200 mg", "Green Valley Naturals is a brand.", "A Monday in March was cold.", "Many labels mix up the amount of {product} itself.", "Where does the {product} come from? From the coast.", "Does heat harm the Gummy Bites?", "Read the leaflet of {brand} {product} first.",
-    "Ich nehme {brand} {product} seit 2 Wochen.", "Tomo {brand} {product} desde hace 4 semanas.", "Je prends {brand} {product} depuis 9 semaines.", "Saw Palmetto and Milk Thistle sound clever.", "Reviewed by our quality team in October for bioavailability.", "Search for {product} in our field notes.", "Good on the breakfast menu of anybody.", "Home Baked Taste, Fairly Priced",
+    "Ich nehme {brand} {product} seit 2 Wochen.", "Tomo {brand} {product} desde hace 4 semanas.", "Je prends {brand} {product} depuis 9 semaines.", "Saw Palmetto and Milk Thistle sound clever.", "Reviewed by our quality team in October for bioavailability.", "Search for {product} in our field notes.", "Good on the breakfast menu of anybody.", "Home Baked Taste, Fairly Priced", "Vegan, Tasty, Cheap.", "Contains Milk, Soy, Egg.", "Bought in Berlin, Germany.", "Sold in Paris, Madrid, Rome.", "Read, Sealed, Delivered.", "Zutaten: Glycerin, Pektin, Zitronen.",
     "Thanks to Vitamin C I felt better.", "Ask for Krill Oil at the pharmacy.", "It was Fish Oil that helped.", "Even Green Tea Extract did nothing.", "Regards, Your Vitamin Team", "Central Park Wellness opens at 10.", "Signed Edition Black Label", "Dr. Green Labs makes it.", "North Sea Algae Oil was tested.", "New York Times Square", "The Grand Hotel Blue Lagoon",
 ]
 
@@ -69,7 +69,7 @@ def fill(r: random.Random, slot: str) -> tuple[str, str | None]:
             first += "-" + r.choice(GIVEN_NAMES)
         if r.random() < 0.15:
             last += "-" + _join(r, _SUR)
-        return r.choice([f"{first} {last}"] * 5 + [f"{first} {r.choice('ABCDEFGHJKLMR')}. {last}", f"{first[0]}. {last}"]), "person"
+        return r.choice([f"{first} {last}"] * 5 + [f"{first} {r.choice('ABCDEFGHJKLMR')}. {last}", f"{first[0]}. {last}", f"{last}, {first}"]), "person"
     if slot == "email":
         user = r.choice([f"{r.choice(GIVEN_NAMES).lower()}.{_join(r, _SUR).lower()}", f"{_join(r, _SUR).lower()}{_digits(r, 2)}", f"{r.choice(GIVEN_NAMES).lower()}_{_join(r, _SUR).lower()}+shop"])
         at, dot = r.choice([("@", ".")] * 4 + [(" [at] ", " [dot] "), (" (at) ", " (dot) "), (" @ ", "."), (" at ", " dot ")])

@@ -31,7 +31,7 @@ _CANDIDATES = [
     ("email", r"(?<![\w.+-])[\w][\w.+%'-]*(?:[ ]?@[ ]?|[ ]?[\[({][ ]?(?:at|AT|ät|arroba)[ ]?[\])}][ ]?|[ ](?:at|AT)[ ](?=[\w-]+[ ](?:dot|DOT)[ ]))[\w-]+(?:(?:\.|[ ]?[\[({][ ]?(?:dot|DOT|punkt|punto|point)[ ]?[\])}][ ]?|[ ](?:dot|DOT)[ ])[\w-]+)+"),
     ("phone", r"(?<![\w/.,-])(?:\+\d{1,3}|\(\d{2,5}\)|\d{2,5}|\d)(?:(?:[ \xa0\u202f]?\(\d{1,4}\)[ \xa0\u202f-]?|[ \xa0\u202f./-])?\d+)+(?![\w-]|[.,]\d)"),
     ("id_number", r"(?<![\w-])(?:\d{3}[- ]\d{2}[- ]\d{4}|[A-Z]{1,2}\d{6,9}[A-Z]?|[A-Z]{2}(?:[ ]\d{2}){3}[ ][A-Z]|\d{8}-?[A-Z]|[XYZ]-?\d{7}-?[A-Z]|[12][ ]?\d{2}[ ]?\d{2}[ ]?\d[\dAB][ ]?\d{3}[ ]?\d{3}(?:[ ]?\d{2})?|\d{2} \d{3} \d{3} \d{3}|\d{11}|\d{2,3}/\d{3}/\d{4,5}|[A-Z]{2}\d{2}(?:[ ]?[\dA-Z]{4}){3,7}(?:[ ]?[\dA-Z]{1,3})?|[A-Z]\d{2}[\dA-Z]{6}\d?|\d{3}-\d{2}-\d{2})(?![\w-])"),
-    ("address", rf"(?<![\w.,-]){_NO}{_GAP}(?:{_UP}{_GAP}){{1,3}}(?:Street|St\.?|Lane|Ln\.?|Road|Rd\.?|Avenue|Ave\.?|Drive|Dr\.?|Court|Ct\.|Way|Close|Terrace|Place|Square|Boulevard|Blvd\.?|Row|Hill|Gardens)(?:,?{_GAP}(?:Apt\.?|Flat|Unit|Suite|No\.|\#){_GAP}?\w+)?(?:{_AFTER_STREET})?"),
+    ("address", rf"(?<![\w.,-]){_NO}{_GAP}(?:{_UP}{_GAP}){{1,3}}(?:Street|St\.?|Lane|Ln\.?|Road|Rd\.?|Avenue|Ave\.?|Drive|Dr\.?|Court|Ct\.|Way|Close|Terrace|Place|Square|Boulevard|Blvd\.?|Row|Hill|Gardens)(?!\w)(?:,?{_GAP}(?:Apt\.?|Flat|Unit|Suite|No\.|\#){_GAP}?\w+)?(?:{_AFTER_STREET})?"),
     ("address", rf"(?<![\w])(?:{_UP}{_GAP})?(?:\p{{Lu}}[\p{{Ll}}-]*(?:straße|strasse|str\.|weg|gasse|platz|allee|ufer|ring|damm|steig|hof)|(?:Am|Im|An{_GAP}der|Auf{_GAP}dem){_GAP}{_UP}){_GAP}{_NO}{_AFTER_STREET}"),
     ("address", rf"(?<![\w])(?:Calle|Avenida|Avda\.|Plaza|Paseo|Camino|Carrera|Ronda|C/){_GAP}(?:(?:de|del|de{_GAP}la|de{_GAP}los|de{_GAP}las|la|el){_GAP})?{_UP}(?:{_GAP}{_UP})?,?{_GAP}{_NO}{_AFTER_STREET}"),
     ("address", rf"(?<![\w]){_NO},?{_GAP}(?:rue|avenue|boulevard|place|chemin|impasse|allée|quai|route|cours|square|Rue|Avenue|Boulevard){_GAP}(?:(?:de|du|des|de{_GAP}la|de{_GAP}l['’]|d['’])(?:{_GAP})?)?{_UP}(?:{_GAP}{_UP})?{_AFTER_STREET}"),
@@ -65,7 +65,7 @@ class Candidate:
 
 
 def _name_candidates(text: str, excluded: frozenset[str]) -> Iterator[Candidate]:
-    """Two neighbouring capitalised words, or with a middle initial, overlapping; words that are part of no name or of a product make none."""
+    """Two neighbouring capitalised words, also parted by a comma or a middle initial, overlapping; words of no name or of a product make none."""
     words = [(m.start(), m.end(), m.group()) for m in _NAME_WORD.finditer(text)]
 
     def plain(w: str) -> bool:
@@ -77,7 +77,8 @@ def _name_candidates(text: str, excluded: frozenset[str]) -> Iterator[Candidate]
         at = end
         for j in range(i + 1, min(i + 3, len(words))):
             s, e, w = words[j]
-            if s != at + 1 or text[at] not in " \xa0\u202f" or not plain(w) or (e < len(text) and (text[e].isalnum() or text[e] in "_@")):
+            comma = j == i + 1 and text[at:s] == ", " and len(word) > 2
+            if not (comma or (s == at + 1 and text[at] in " \xa0\u202f")) or not plain(w) or (e < len(text) and (text[e].isalnum() or text[e] in "_@")):
                 break
             if len(w.rstrip(".")) > 1:
                 yield Candidate(start, e, "person")
@@ -124,7 +125,8 @@ def features(text: str, c: Candidate) -> list[str]:
     for i, w in enumerate(after[:2]):
         out.append(f"{k} a{i}={'#' if w.isdigit() else w}")
     if k == "person":
-        words = regex.split(r"[ \xa0\u202f]", value)
+        words = regex.split(r",?[ \xa0\u202f]", value)
+        out += ["p comma"] * ("," in value)
         given = [p.lower() in _GIVEN for p in words[0].split("-")]
         out += [f"p n={len(words)}"] + ["p given"] * any(given) + ["p second given"] * (words[1].split("-")[0].lower() in _GIVEN) + ["p last given"] * (words[-1].split("-")[0].lower() in _GIVEN)
         out += ["p initial"] * (len(words[0]) == 2 and words[0][1] == ".") + ["p middle"] * (len(words) == 3 and words[1].endswith(".") and len(words[1]) == 2) + ["p upper"] * value.isupper()

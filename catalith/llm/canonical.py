@@ -17,13 +17,15 @@ from catalith.runtime import bounded_rows, dimension, literal_table, materialise
 
 #: A candidate is accepted from this weighted cosine on, and if it leads the best one of another entry by the margin.
 THRESHOLD, MARGIN = 0.53, 0.06
+#: Below, down to this cosine, a candidate is accepted if the words of value and term pair up, each with at least this share of equal letter pairs.
+PAIRED_THRESHOLD, PAIRED_SHARE = 0.42, 0.5
 #: A word or phrase around exact names of at least so many entries of a kind is a carrier ("supports ...", "... powder").
 CARRIER_ENTRIES = 4
 CARRIER_WORDS = 3
 #: Weight, in grams, of a word's signature (first letter and set of letters), which doubled and swapped letters leave alone.
 SIGNATURE_COUNT = 2
-#: A value seen so often with a context, and at least this share of the times with that of one entry, means the entry.
-CONTEXT_COUNT, CONTEXT_SHARE = 5, 0.8
+#: A value seen so often beside the context of one entry, at least this share of the times, and so many times as often as beside that of any other, means the entry.
+CONTEXT_COUNT, CONTEXT_SHARE, CONTEXT_LEAD = 5, 0.4, 3
 
 
 def value_key(value: Column) -> Column:
@@ -63,11 +65,12 @@ def mine_carriers(keys: DataFrame, terms: DataFrame) -> DataFrame:
 
 
 def mine_contexts(keys: DataFrame, contexts: DataFrame) -> DataFrame:
-    """(kind, key, entry_id): keys that nearly always stand beside the context of one entry. `contexts` is (kind, key, entry_id) per occurrence."""
+    """(kind, key, entry_id): keys that stand beside the context of one entry far more often than beside any other's. `contexts` is (kind, key, entry_id) per occurrence."""
     counts = contexts.filter(F.col("key") != "").groupBy("kind", "key", "entry_id").count()
     by = Window.partitionBy("kind", "key")
-    shares = counts.withColumn("total", F.sum("count").over(by)).withColumn("r", F.row_number().over(by.orderBy(F.desc("count"), "entry_id")))
-    sure = shares.filter((F.col("r") == 1) & (F.col("count") >= CONTEXT_COUNT) & (F.col("count") >= CONTEXT_SHARE * F.col("total")))
+    ranked = by.orderBy(F.desc("count"), "entry_id")
+    shares = counts.withColumn("total", F.sum("count").over(by)).withColumn("r", F.row_number().over(ranked)).withColumn("second", F.coalesce(F.lead("count").over(ranked), F.lit(0)))
+    sure = shares.filter((F.col("r") == 1) & (F.col("count") >= CONTEXT_COUNT) & (F.col("count") >= CONTEXT_SHARE * F.col("total")) & (F.col("count") >= CONTEXT_LEAD * F.col("second")))
     return sure.join(keys.select("kind", "key").distinct(), ["kind", "key"], "left_semi").select("kind", "key", "entry_id")
 
 
@@ -75,7 +78,7 @@ class GramIndex:
     """Inverted index of character n-grams and word signatures over the terms of one kind, scored by weighted cosine."""
 
     def __init__(self, terms: list[tuple[str, str]]) -> None:
-        self.entries = [e for _, e in terms]
+        self.entries, self.keys = [e for _, e in terms], [k for k, _ in terms]
         grams = [self._grams(k) for k, _ in terms]
         found: dict[str, list[tuple[int, int]]] = defaultdict(list)
         for i, counts in enumerate(grams):
@@ -101,10 +104,10 @@ class GramIndex:
                 counts["#" + word[0] + "".join(sorted(set(word)))] += SIGNATURE_COUNT
         return counts
 
-    def best(self, key: str) -> tuple[str | None, float, float]:
-        """(entry, cosine, cosine of the best other entry) for a key."""
+    def best(self, key: str) -> tuple[str | None, float, float, str]:
+        """(entry, cosine, cosine of the best other entry, best term) for a key."""
         if not key or not self.entries:
-            return None, 0.0, 0.0
+            return None, 0.0, 0.0, ""
         scores = np.zeros(len(self.entries))
         norm = 0.0
         for g, n in self._grams(key).items():
@@ -118,7 +121,19 @@ class GramIndex:
         first = int(by_entry.argmax())
         top = float(by_entry[first])
         by_entry[first] = 0.0
-        return self.names[first], top, float(by_entry.max())
+        term = self.keys[int(np.where(self.group_of == first, scores, -1.0).argmax())]
+        return self.names[first], top, float(by_entry.max()), term
+
+
+def words_pair_up(a: str, b: str) -> bool:
+    """Whether each word of either key has a word in the other with at least PAIRED_SHARE of equal letter pairs (Dice)."""
+
+    def pairs(word: str) -> set[str]:
+        return {f" {word} "[i : i + 2] for i in range(len(word) + 1)}
+
+    x, y = [pairs(w) for w in a.split()], [pairs(w) for w in b.split()]
+    close = lambda p, q: 2 * len(p & q) >= 2 * PAIRED_SHARE * (len(p) + len(q)) / 2
+    return bool(x and y) and all(any(close(p, q) for q in y) for p in x) and all(any(close(p, q) for p in x) for q in y)
 
 
 def match_values(values: DataFrame, vocabulary: DataFrame, aliases: DataFrame, contexts: DataFrame | None = None, threshold: float = THRESHOLD, margin: float = MARGIN) -> DataFrame:
@@ -180,10 +195,10 @@ def match_values(values: DataFrame, vocabulary: DataFrame, aliases: DataFrame, c
                 hit = exact.get((kind, form)) or swapped.get((kind, " ".join(sorted(form.split()))))
                 if hit:
                     return hit[0], hit[1], 1.0
-            results = [index[kind].best(x) for f in forms for x in dict.fromkeys((f, " ".join(reversed(f.split()))))]
-            entry, top, _ = max(results, key=lambda r: r[1])
-            other = max((t if e != entry else o) for e, t, o in results)
-            if top >= threshold and top - other >= margin:
+            results = [(*index[kind].best(x), x) for f in forms for x in dict.fromkeys((f, " ".join(reversed(f.split()))))]
+            entry, top, _, term, form = max(results, key=lambda r: r[1])
+            other = max((t if e != entry else o) for e, t, o, _, _ in results)
+            if top - other >= margin and (top >= threshold or (top >= PAIRED_THRESHOLD and words_pair_up(form, term))):
                 return entry, "ngram", top
             return None, "unmatched", top
 

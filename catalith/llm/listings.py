@@ -134,7 +134,7 @@ def parse_name(d: Dictionary, name: str | None, ingredient: str | None) -> dict[
     name = name or ""
     found = d.find(plain_words(name))
     amounts = list(_AMOUNT.finditer(name))
-    rest = _AMOUNT.sub(" ; ", name)
+    rest = re.sub(r"(?<=\w)-\d+\b", " ", _AMOUNT.sub(" ; ", name))
     forms = found.get("form", [])
     count = next((g for m in _COUNT.finditer(rest) for g in m.groups() if g), None)
     if count is None and forms:

@@ -12,7 +12,7 @@ D1 = L.Dictionary(["navbasen", "aldtufyn"], {"Vitamin A": "Vitamin A", "MCT Oil"
 @pytest.mark.parametrize("name, ingredient, expected", [
     ("NAVBASEN - Vitamine A - sans gluten - 5000 UI - 240 capsules végétales", "Vitamin A", ("1500", "capsule", "240", None)), ("Navbasen Vitamin A 1500mcg 30ct Soft Gels", "Vitamin A", ("1500", "softgel", "30", None)),
     ("Aldtufyn - Huile MCT - 1\xa0000\xa0mg - 30ct pastilles à sucer - fruits des bois", "MCT Oil", ("1000000", "lozenge", "30", "berry")), ("gommes x 90 1\xa0000\xa0µg", None, ("1000", "gummy", "90", None)),
-    ("Xangusen Fruchtgummis, 180 Stück 15 Mrd. KBE minze-Geschmack", None, ("15000000000c", "gummy", "180", "mint")), ("Tabs (30) 0,5 g", None, ("500000", "tablet", "30", None)), ("", None, (None,) * 4), (None, None, (None,) * 4),
+    ("Xangusen Fruchtgummis, 180 Stück 15 Mrd. KBE minze-Geschmack", None, ("15000000000c", "gummy", "180", "mint")), ("Menaquinone-7 Caps 75 µg", None, ("75", "capsule", None, None)), ("Tabs (30) 0,5 g", None, ("500000", "tablet", "30", None)), ("", None, (None,) * 4), (None, None, (None,) * 4),
 ])
 def test_names(name, ingredient, expected):
     assert tuple(L.parse_name(D1, name, ingredient).values()) == expected

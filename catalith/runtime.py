@@ -41,12 +41,13 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
 def _write_shared(spark: SparkSession, payload: bytes, name: str) -> str:
     path = f"{shared_dir(spark)}/{name}"
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    stream = files.create(target, True)
     try:
         stream.write(payload)
     finally:
         stream.close()
-    return path
+    return files.makeQualified(target).toString()
 
 
 def share_bytes(spark: SparkSession, payload: bytes, label: str) -> str:

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from catalith.functions import urls as U
+from catalith.functions.quantities import bind
 
 # File endings of pictures and size words of shop picture names.
 _ENDING = r"\.(?:jpe?g|png|webp|gif)"
@@ -63,9 +64,13 @@ def width(url: Column) -> Column:
 def unique(urls: Column, rank: Column | None = None) -> Column:
     """IMG-03, IMG-04: pictures without doubles by identity, each at the place of its first, in the spelling of greatest preference (then width)."""
     items = F.transform(F.filter(urls, lambda u: F.coalesce(F.trim(u) != "", F.lit(False))), lambda u, i: F.struct(identity(u).alias("k"), i.alias("i"), u.alias("u"), preference(u).alias("p"), width(u).alias("w")))
-    firsts = F.filter(items, lambda x, i: ~F.exists(F.slice(items, 1, i), lambda y: y["k"] == x["k"]))
-    best = lambda x: F.array_max(F.transform(F.filter(items, lambda y: y["k"] == x["k"]), lambda y: F.struct(y["p"].alias("p"), y["w"].alias("w"), (-y["i"]).alias("i"), y["u"].alias("u"))))
-    return F.transform(firsts, lambda x: best(x)["u"])
+
+    def choose(known: Column) -> Column:
+        firsts = F.filter(known, lambda x, i: ~F.exists(F.slice(known, 1, i), lambda y: y["k"] == x["k"]))
+        best = lambda x: F.array_max(F.transform(F.filter(known, lambda y: y["k"] == x["k"]), lambda y: F.struct(y["p"].alias("p"), y["w"].alias("w"), (-y["i"]).alias("i"), y["u"].alias("u"))))
+        return F.transform(firsts, lambda x: best(x)["u"])
+
+    return bind(items, choose)
 
 
 def best_srcset(srcset: Column) -> Column:

@@ -22,21 +22,23 @@ def ordered_distinct(rows: DataFrame, key: list[str], order: str) -> DataFrame:
     return first.select(*key, "f.*")
 
 
-def reachable(edges: DataFrame, seeds: DataFrame, source: str = "src", target: str = "dst", quiet_rounds: int = 1, max_rounds: int = 100) -> DataFrame:
+def reachable(edges: DataFrame, seeds: DataFrame, source: str = "src", target: str = "dst", quiet_rounds: int = 1, max_rounds: int | None = None) -> DataFrame:
     """SET-04: (node, round) of all nodes reached from `seeds`(node), with the round of first discovery.
 
-    Rounds of frontier join, difference and union, each written to the shared folder, until `quiet_rounds` rounds in a row find nothing new.
-    Only the number of new nodes comes to the driver.
+    Rounds of frontier join, difference and union, each written to the shared folder, until `quiet_rounds` rounds in a row find nothing new,
+    however many rounds that takes. Where `max_rounds` is given and its last round still finds nodes, it raises: nodes are never left out.
+    Null counts as one node without links. Only the number of new nodes comes to the driver.
     """
     found = materialise(seeds.select("node").distinct().withColumn("round", F.lit(0)), "reached")
-    frontier, quiet = found, 0
-    for n in range(1, max_rounds + 1):
+    frontier, quiet, n = found, 0, 0
+    while quiet < quiet_rounds:
+        n += 1
         step = frontier.join(edges, F.col("node") == F.col(source)).select(F.col(target).alias("node")).distinct()
-        frontier = materialise(step.join(found, "node", "left_anti").withColumn("round", F.lit(n)), "frontier")
+        frontier = materialise(step.join(found.select(F.col("node").alias("__found")), F.col("node").eqNullSafe(F.col("__found")), "left_anti").withColumn("round", F.lit(n)), "frontier")
         if frontier.isEmpty():
             quiet += 1
-            if quiet >= quiet_rounds:
-                break
+        elif max_rounds is not None and n >= max_rounds:
+            raise ValueError(f"round {n} still finds nodes, and no more than {max_rounds} rounds are allowed")
         else:
             quiet, found = 0, materialise(found.unionByName(frontier), "reached")
     return found

@@ -89,6 +89,20 @@ def test_sets_and_stats(spark):
     assert rows(stats.coverage(v.limit(0), {"a": F.lit(True)})) == [("a", 0, 0, 0.0)]
 
 
+def test_closure_of_a_long_chain_equals_brute_force(spark):
+    links = [(i, i + 1) for i in range(105)] + [(i, 1000 + i) for i in range(0, 105, 10)] + [(50, 3), (7, None), (60, None), (1050, 104), (3000, 3001)]
+    reached, frontier, n = {0: 0}, {0}, 0
+    while frontier:
+        n += 1
+        frontier = {b for a, b in links if a in frontier} - reached.keys()
+        reached |= dict.fromkeys(frontier, n)
+    assert max(reached.values()) > 100
+    edges, seeds = spark.createDataFrame(links, "src int, dst int"), spark.createDataFrame([(0,)], "node int")
+    assert rows(sets.reachable(edges, seeds)) == sorted(reached.items(), key=repr)
+    with pytest.raises(ValueError):
+        sets.reachable(edges, seeds, max_rounds=3)
+
+
 def test_export(spark, tmp_path):
     df = spark.createDataFrame([(1, "a", [1]), (1, None, []), (2, "b", None)], "r int, name string, xs array<int>")
     export = sink.build_export(df, ["r"], {"name": F.col("name").isNotNull()})

@@ -60,17 +60,34 @@ def close_versions(versions: DataFrame, keys: list[str], attributes: list[str])
     return closed.select(*[F.col(f"key.{k}").alias(k) for k in keys], "valid_from", F.coalesce("__inside", "__next").alias("valid_to"), *attributes, "attr_hash")
 
 
-def merge_history(history: DataFrame, snapshots: DataFrame, keys: list[str], time_col: str, attributes: list[str], order: list[str]) -> DataFrame:
+def merge_history(history: DataFrame, snapshots: DataFrame, keys: list[str], time_col: str, attributes: list[str], order: list[str], earlier: DataFrame | None = None) -> DataFrame:
     """The history after a batch of snapshots: closes changed versions with an end date and inserts the new ones.
 
-    Versions of keys not in the batch pass unchanged. A version counts as a capture of its known values at its start, older than any capture
-    of the batch at the same time; late captures thus split the version they fall into. The batch may hold a key any number of times.
+    Versions of keys not in the batch pass unchanged. The batch may hold a key any number of times. `earlier` are all captures the history was
+    built from, with the columns of the batch: keys of the batch are rebuilt from them, so late captures and corrections give what a rebuild
+    of everything gives. A key of the batch that has versions but no earlier capture raises.
+    Versions do not tell when they were seen again, nor which values were merely carried, so without `earlier` every capture of the batch must
+    be later than all captures of its key before; a capture not after the start of the last version raises, but one between that start and a
+    later capture of the same values can't be told from the history.
     """
-    touched = snapshots.filter(F.col(time_col).isNotNull()).select(F.struct(*keys).alias("__key")).distinct()
+    batch = snapshots.filter(F.col(time_col).isNotNull()).select(F.struct(*keys).alias("__key"), F.col(time_col).cast(history.schema["valid_from"].dataType).alias("__at"))
+    touched = batch.select("__key").distinct()
     marked = history.withColumn("__key", F.struct(*keys))
     kept = marked.join(touched, "__key", "left_anti").drop("__key")
-    extra = [c for c in order if c not in (*keys, time_col, *attributes)]
-    old = marked.join(touched, "__key", "left_semi").select(*keys, F.col("valid_from").alias(time_col), *attributes, F.lit(0).alias("__age"), *[F.lit(None).cast(snapshots.schema[c].dataType).alias(c) for c in extra])
-    new = snapshots.select(*keys, F.col(time_col).cast(history.schema["valid_from"].dataType).alias(time_col), *attributes, F.lit(1).alias("__age"), *extra)
-    rebuilt = build_history(old.unionByName(new), keys, time_col, attributes, ["__age", *order])
+    known = marked.join(touched, "__key", "left_semi")
+    columns = list(dict.fromkeys([*keys, time_col, *attributes, *order]))
+    at = F.col(time_col).cast(history.schema["valid_from"].dataType)
+    new = snapshots.select(*columns).withColumn(time_col, at)
+    if earlier is not None:
+        old = earlier.select(*columns).withColumn(time_col, at).withColumn("__key", F.struct(*keys)).join(touched, "__key", "left_semi")
+        if not known.join(old.filter(F.col(time_col).isNotNull()).select("__key").distinct(), "__key", "left_anti").isEmpty():
+            raise ValueError("earlier captures of a key of the batch are missing")
+        rebuilt = build_history(old.drop("__key").unionByName(new), keys, time_col, attributes, order)
+    else:
+        last = known.groupBy("__key").agg(F.max("valid_from").alias("__last"))
+        if not batch.join(last, "__key").filter(F.col("__at") <= F.col("__last")).isEmpty():
+            raise ValueError("the batch holds late captures: the earlier captures are needed")
+        extra = [c for c in columns if c not in (*keys, time_col, *attributes)]
+        old = known.select(*keys, F.col("valid_from").alias(time_col), *attributes, *[F.lit(None).cast(snapshots.schema[c].dataType).alias(c) for c in extra])
+        rebuilt = build_history(old.unionByName(new), keys, time_col, attributes, order)
     return kept.select(*rebuilt.columns).unionByName(rebuilt)

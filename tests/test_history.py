@@ -1,6 +1,8 @@
 import datetime as dt
 import random
 
+import pytest
+
 from catalith.operators import history
 from catalith.plans import found
 from tests.conftest import rows
@@ -66,6 +68,26 @@ def test_merge_of_later_batches_equals_rebuilding(spark):
     assert rows(merged.drop("attr_hash")) == brute(data)
 
 
+def test_merge_of_late_rows_and_corrections_equals_rebuilding(spark):
+    day = lambda n: dt.datetime(2025, 1, n)
+    old = [("a", "1", day(1), day(1), 1, 5, None, ""), ("a", "1", day(3), day(3), 2, 5, None, "")]
+    old += [("b", "1", day(2), day(2), 3, 7, None, ""), ("b", "1", day(3), day(3), 4, 7, None, "")]
+    old += [("c", "1", day(1), day(1), 5, 5, True, ""), ("c", "1", day(3), day(3), 6, None, False, ""), ("d", None, day(1), day(1), 7, 1, None, "")]
+    new = [("a", "1", day(2), day(4), 8, 7, None, ""), ("b", "1", day(2), day(4), 9, 5, None, ""), ("c", "1", day(2), day(4), 10, 7, None, ""), ("e", None, day(9), day(9), 11, 1, None, "")]
+    mixed = [d for d in make(7, 300) if d[2] is not None]
+    random.Random(8).shuffle(mixed)
+    for first, second in ((old, new), (mixed[:200], mixed[200:])):
+        a, b = spark.createDataFrame(first, SCHEMA), spark.createDataFrame(second, SCHEMA)
+        built = history.build_history(a, KEYS, "at", ATTRS, ["seen", "n"])
+        merged = history.merge_history(built, b, KEYS, "at", ATTRS, ["seen", "n"], earlier=a)
+        assert rows(merged.drop("attr_hash")) == brute(first + second)
+    built = history.build_history(spark.createDataFrame(old, SCHEMA), KEYS, "at", ATTRS, ["seen", "n"])
+    late = spark.createDataFrame(new[1:2], SCHEMA)
+    for earlier in (None, spark.createDataFrame(old[:2], SCHEMA)):
+        with pytest.raises(ValueError):
+            history.merge_history(built, late, KEYS, "at", ATTRS, ["seen", "n"], earlier=earlier)
+
+
 def test_merge_leaves_other_keys_alone(spark):
     built = history.build_history(spark.createDataFrame(make(5, 50), SCHEMA), KEYS, "at", ATTRS, ["n"])
     assert rows(history.merge_history(built, spark.createDataFrame([], SCHEMA), KEYS, "at", ATTRS, ["n"])) == rows(built)

@@ -75,11 +75,15 @@ def _unit(text: str) -> str | None:
 
 @dataclass
 class Dictionary:
-    """Phrases of brands, ingredients, forms and flavours in one Aho-Corasick automaton, and the factors of units."""
+    """Phrases of brands, ingredients, forms and flavours in one Aho-Corasick automaton, and the factors of units.
+
+    `others` are ingredient phrases outside the vocabulary that hold a flavour word; they name no ingredient here, but keep the word from being a flavour.
+    """
 
     brands: list[str]
     ingredients: dict[str, str]
     factors: dict[tuple[str, str], Decimal]
+    others: tuple[str, ...] = ()
     matcher: ahocorasick.Automaton = field(init=False, repr=False)
 
     def __post_init__(self) -> None:
@@ -90,6 +94,8 @@ class Dictionary:
         for phrase, name in self.ingredients.items():
             if phrase.strip():
                 entries.setdefault(plain_words(phrase), {})["ingredient"] = name
+        for phrase in self.others:
+            entries.setdefault(plain_words(phrase), {})["other"] = phrase
         for kind, table in (("form", FORMS), ("flavour", FLAVOURS)):
             for name, phrases in table.items():
                 for phrase in phrases:
@@ -100,15 +106,21 @@ class Dictionary:
             self.matcher.make_automaton()
 
     def __reduce__(self) -> tuple:
-        return Dictionary, (self.brands, self.ingredients, self.factors)
+        return Dictionary, (self.brands, self.ingredients, self.factors, self.others)
 
     def find(self, text: str) -> dict[str, list[str]]:
-        """Names of each kind found in plain words, by longest match, then place: shorter matches inside longer ones of the kind drop out."""
+        """Names of each kind found in plain words, by longest match, then place: shorter matches inside longer ones of the kind drop out.
+
+        A flavour word inside a longer phrase of an ingredient or a brand (cherry in a plant's name) is part of that phrase, no flavour.
+        """
         spans: dict[str, list[tuple[int, int, str]]] = {}
         if len(self.matcher):
             for end, (phrase, what) in self.matcher.iter(text):
                 for kind, name in what.items():
                     spans.setdefault(kind, []).append((end - len(phrase) + 1, end, name))
+        if "flavour" in spans:
+            phrases = [s for kind in ("ingredient", "brand", "other") for s in spans.get(kind, [])]
+            spans["flavour"] = [f for f in spans["flavour"] if not any(s[0] <= f[0] and f[1] <= s[1] and f[1] - f[0] < s[1] - s[0] for s in phrases)]
         out: dict[str, list[str]] = {}
         for kind, found in spans.items():
             taken: list[tuple[int, int, str]] = []
@@ -185,6 +197,7 @@ def mine_dictionary(listings: DataFrame, vocabulary: DataFrame, aliases: DataFra
 
     Listings whose page address ends in brand, ingredient of the vocabulary and a number, and whose name holds that brand, are trusted; the
     brands of at least `support` of them are taken. Counted over all listings in one aggregation; the brands are a bounded list, checked.
+    Ingredients typed at least `support` times as several words, one of them a flavour, are kept as phrases that are no flavour.
     """
     names = [r["name"] for r in bounded_rows(vocabulary.filter("kind = 'main_ingredients'").select("name").distinct()) if r["name"]]
     slugs = {plain_words(n).strip().replace(" ", "-"): n for n in names}
@@ -198,7 +211,12 @@ def mine_dictionary(listings: DataFrame, vocabulary: DataFrame, aliases: DataFra
         if r["alias"] and r["canonical"] in slugs.values() and plain_words(r["alias"]).strip() not in known:
             ingredients.setdefault(r["alias"], r["canonical"])
     factors = {(r["unit"].lower(), r["substance"] or ""): r["base_per_unit"] for r in bounded_rows(unit_reference)}
-    return Dictionary(sorted(brands), ingredients, factors)
+    flavoured = [plain_words(p) for table in FLAVOURS.values() for p in table]
+    typed = listings.select(F.explode("main_ingredients").alias("m")).select(F.lower("m.name").alias("name"))
+    holding = typed.filter(F.translate("name", "áàâéèêíìîóòôúùûüñç", "aaaeeeiiiooouuuunc").rlike("|".join(p.strip() for p in flavoured))).groupBy("name").count().filter(F.col("count") >= support)
+    phrases = {plain_words(r["name"]) for r in bounded_rows(holding.select("name"), MAX_BRANDS)}
+    others = sorted(p.strip() for p in phrases if any(f in p and f != p for f in flavoured))
+    return Dictionary(sorted(brands), ingredients, factors, tuple(others))
 
 
 PARTS = ["strength", "form", "count", "flavour"]
@@ -267,7 +285,7 @@ def product_keys(listings: DataFrame, crawl: DataFrame, dictionary: Dictionary)
     own, pages = read_listings(listings, dictionary), read_pages(crawl, dictionary)
     whole = own.join(pages, "page", "left")
     part = {p: F.coalesce(p, f"p_{p}") for p in PARTS}
-    flavour = F.when(part["form"].isin("gummy", "lozenge"), F.coalesce(part["flavour"], F.lit(""))).otherwise("")
+    flavour = F.coalesce(part["flavour"], F.lit(""))
     parts = [F.col("brand"), F.col("ingredient"), part["strength"], part["form"], part["count"]]
     complete = F.lit(True)
     for p in parts:

@@ -34,6 +34,20 @@ def test_pairs_and_classes(spark):
     assert rows(L.same_products(keys.limit(0))) == []
 
 
+def test_flavours_of_every_form(spark):
+    schema = "output_id bigint, domain string, external_id string, product_url string, source_url string, product_name string, product_form string, variant_attrs array<struct<name:string,value:string>>, main_ingredients array<struct<name:string>>"
+    names = ["MCT Oil 1 g Lemon Softgels x 60", "MCT Oil 1 g Orange Softgels x 60", "MCT Oil 1 g Softgels x 60", "Winter Cherry MCT Oil 1 g Softgels x 60", "Winter Cherry MCT Oil 1 g Mint Softgels x 60"]
+    data = [(i, f"{i}.example", str(i), f"https://a.example/p/aldtufyn-mct-oil-{i}", None, f"Aldtufyn {name}", None, None, [("Winter Cherry",)]) for i, name in enumerate(names)]
+    listings = spark.createDataFrame(data, schema)
+    crawl = spark.createDataFrame([], "record_id bigint, product_url string, captured_at timestamp_ntz, fields struct<title:string,form:string,description:string>")
+    vocabulary = spark.createDataFrame([("V1", "main_ingredients", "MCT Oil")], "id string, kind string, name string")
+    units = spark.createDataFrame([("g", "mass", None, D(10**6))], "unit string, dimension string, substance string, base_per_unit decimal(20,6)")
+    mined = L.mine_dictionary(listings, vocabulary, spark.createDataFrame([], "alias string, canonical string"), units)
+    assert mined.others == ("winter cherry",)
+    keys = {r["output_id"]: r["product"].split("|")[-1] for r in L.product_keys(listings, crawl, mined).collect()}
+    assert keys == {0: "lemon", 1: "orange", 2: "", 3: "", 4: "mint"}
+
+
 def test_listings_of_one_product_meet(spark):
     schema = "output_id bigint, domain string, external_id string, product_url string, source_url string, product_name string, product_form string, variant_attrs array<struct<name:string,value:string>>, main_ingredients array<struct<name:string>>"
     data = [

@@ -120,7 +120,10 @@ def flatten_records(records: DataFrame, id_col: str = "raw_id", payload_col: str
 
 
 def child_tables(flat: DataFrame) -> dict[str, DataFrame]:
-    """The child tables of flatten_records by tag, each with its own schema. To store them in one pass write `flat` partitioned by `child`."""
+    """The child tables of flatten_records by tag, each with its own schema as `entry`.
+
+    Entries that are bare strings or numbers have no fields: their `entry` is null and their text stands in `label`. To store them in one pass write `flat` partitioned by `child`.
+    """
     schemas = {
         "main_ingredients": "name string, value string, substance string, form string, category string, taxonomy struct<substance string, form string, category string>",
         "images": "url string, src string, alt string, width int",

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalith.functions import quantities as Q
 from catalith.operators import history, nesting, units
-from catalith.runtime import table
+from catalith.runtime import shared_dir, table
 
 
 def known_captures(snapshots: DataFrame) -> DataFrame:
@@ -35,7 +38,11 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat child rows of the nested payloads, linked to their parents."""
-    return nesting.flatten_records(table(spark, sf_dir, "raw_record")).drop("payload")
+    flat = nesting.flatten_records(table(spark, sf_dir, "raw_record"))
+    path = f"{shared_dir(spark)}/children-{uuid.uuid4().hex}"
+    nesting.write_partitioned(flat, path)
+    tables = nesting.child_tables(spark.read.schema(flat.schema).parquet(path))
+    return reduce(DataFrame.unionByName, [t.select("raw_id", "child", "parent_no", "item_no", "label") for t in tables.values()])
 
 
 #: Amount of a price text, for DuckDB.

@@ -1,6 +1,7 @@
 import json
 
 from catalith.operators import nesting
+from catalith.plans import found
 from tests.conftest import rows
 
 RECORD = {
@@ -40,3 +41,14 @@ def test_child_tables_and_partitioned_write(spark, tmp_path):
     assert rows(tables["images"].select("item_no", "entry.url")) == sorted([(0, None), (1, None), (3, "c")], key=repr)
     nesting.write_partitioned(df, str(tmp_path / "out"))
     assert spark.read.parquet(str(tmp_path / "out")).count() == df.count()
+
+
+def test_query_writes_partitioned_and_reads_the_tables(spark, sf_dir):
+    from pathlib import Path
+
+    shared = Path(spark.sparkContext.getConf().get("spark.checkpoint.dir").removeprefix("file://"))
+    before = set(shared.glob("children-*"))
+    got = found.p7_found(spark, sf_dir)
+    (path,) = set(shared.glob("children-*")) - before
+    assert {p.name for p in path.glob("child=*")} == {f"child={t}" for t in ("main_ingredients", "images", "variants", "variant_options")}
+    assert rows(got) == rows(nesting.flatten_records(spark.read.parquet(f"{sf_dir}/raw_record.parquet")).drop("payload"))

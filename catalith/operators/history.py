@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from catalith.runtime import materialise
 
-#: Length of the pieces a key's time line is cut into, so that no task ever holds the whole line of one key.
-PIECE = "month"
+#: Length of the pieces a key's time line is cut into, so that the captures of one key are spread even where they lie in one month.
+PIECE = "hour"
 
 
 def _hash(attributes: list[str]) -> Column:

@@ -93,6 +93,14 @@ def test_merge_leaves_other_keys_alone(spark):
     assert rows(history.merge_history(built, spark.createDataFrame([], SCHEMA), KEYS, "at", ATTRS, ["n"])) == rows(built)
 
 
+def test_captures_of_one_month_are_spread(spark):
+    data = [("hot", "x", dt.datetime(2025, 2, 1) + dt.timedelta(minutes=20 * i), None, i, i // 5, None, "") for i in range(300)]
+    df = spark.createDataFrame(data, SCHEMA)
+    pieces = history.latest_per_time(df, KEYS, "at", ATTRS, ["n"]).groupBy("key", "piece").count()
+    assert pieces.count() == 100 and pieces.agg({"count": "max"}).first()[0] == 3
+    assert rows(history.build_history(df, KEYS, "at", ATTRS, ["n"]).drop("attr_hash")) == brute(data)
+
+
 def test_what_captures_say(spark):
     data = [("d", "e", None, None, 1, p, None, r) for p, r in (("$1,234.50", 4.0), ("1.234,50 €", 5.1), ("Sold out", -1.0), ("", 0.0), (None, float("nan")), ("2999 cents", 5.0))]
     df = spark.createDataFrame(data, "domain string, external_id string, captured_at timestamp_ntz, ingested_at timestamp_ntz, snapshot_id bigint, price string, in_stock boolean, rating double")

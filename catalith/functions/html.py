@@ -48,7 +48,7 @@ def links(html: Column) -> Column:
 
 
 def menus(html: Column) -> Column:
-    """HTML-05: array of struct(surface, html) of nav and header blocks, the whole page where there is none."""
+    """Part of HTML-05, without mobile and mega menus: array of struct(surface, html) of nav and header blocks, the whole page where there is none."""
     block = lambda tag: F.transform(F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}(?:\s[^>]*)?>.*?</{tag}>"), F.lit(0)), lambda m: F.struct(F.lit(tag).alias("surface"), m.alias("html")))
     found = F.concat(block("nav"), block("header"))
     return F.when(F.size(found) > 0, found).otherwise(F.array(F.struct(F.lit("page").alias("surface"), html.alias("html"))))
@@ -109,7 +109,7 @@ def is_error_page(html: Column) -> Column:
 
 
 def trait_key(label: Column) -> Column:
-    """HTML-13: canonical field of a label, '' for none."""
+    """Part of HTML-13: canonical field of a label, '' for none."""
     out = F.lit("")
     for words, key in reversed(TRAIT_KEYS):
         out = F.when(F.lower(label).rlike(words), key).otherwise(out)
@@ -117,7 +117,7 @@ def trait_key(label: Column) -> Column:
 
 
 def traits(html: Column) -> Column:
-    """HTML-13: array of struct(label, value) of details blocks, the first of each label kept."""
+    """Part of HTML-13, without accordion and tab blocks: array of struct(label, value) of details blocks, the first of each label kept."""
     blocks = F.regexp_extract_all(html, F.lit(r"(?is)<details[^>]*>.*?</details>"), F.lit(0))
     pair = lambda b: F.struct(to_text(F.regexp_extract(b, r"(?is)<summary[^>]*>(.*?)</summary>", 1)).alias("label"), to_text(F.regexp_replace(b, r"(?is)<summary[^>]*>.*?</summary>", " ")).alias("value"))
     found = F.filter(F.transform(blocks, pair), lambda t: (t["label"] != "") & (t["value"] != ""))

@@ -28,7 +28,7 @@ def hint_score(text: Column, title: Column) -> Column:
 
 
 def resolve_candidates(candidates: DataFrame, page: str = "page", n: int = 12) -> DataFrame:
-    """IMG-07: the n best candidates(page, idx, url, label, base) of each page: base and label score, then place; one per identity."""
+    """Part of IMG-07, without its gallery and source order scores: the n best candidates(page, idx, url, label, base) of each page: base and label score, then place; one per identity."""
     score = F.col("base")
     for label, bonus in LABEL_SCORES.items():
         score = score + F.when(F.col("label") == label, bonus).otherwise(0)

@@ -85,7 +85,7 @@ SELECT CASE WHEN rejected THEN 'rejected' WHEN product THEN 'product' WHEN list_
 FROM p GROUP BY 1
 """)
 def url_class(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """URL-04, URL-05, URL-06, URL-12: addresses by class."""
+    """URL-04, URL-05, URL-06: addresses by class."""
     u = F.col("product_url")
     kind = F.when(U.is_rejected(u), "rejected").when(U.is_product(u), "product").when(U.is_category(u), "category").otherwise("other")
     return table(spark, sf_dir, "crawl").groupBy(kind.alias("page_class")).agg(F.count(F.lit(1)).alias("n"))
@@ -291,7 +291,7 @@ SELECT coalesce(n.k, s.k) AS k, unnest(list_filter([CASE WHEN s.c IS NULL THEN '
 FROM n FULL OUTER JOIN s ON n.k = s.k
 """)
 def key_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JOIN-05, VAL-12: keys missing, orphaned or doubled between two tables."""
+    """JOIN-05: keys missing, orphaned or doubled between two tables."""
     return lookups.key_audit(table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("k")), table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("k")), "k")
 
 
@@ -338,7 +338,7 @@ def inference_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT o_custkey, o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS r FROM orders) WHERE r = 1")
 def best_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """WIN-01, WIN-04: the best row of each key under a total order."""
+    """WIN-01: the best row of each key under a total order."""
     return lookups.best_per_key(table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice"), ["o_custkey"], [F.desc("o_totalprice"), F.asc("o_orderkey")])
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,40 +12,128 @@ from catalith.functions import urls as U
 from catalith.functions.quantities import bind
 
 # File endings of pictures and size words of shop picture names.
-_ENDING = r"\.(?:jpe?g|png|webp|gif)"
-_SIZES = "pico|icon|thumb|small|compact|medium|large|grande|master"
+ENDINGS = ["jpg", "jpeg", "png", "webp", "gif"]
+SIZE_WORDS = ["pico", "icon", "thumb", "small", "compact", "medium", "large", "grande", "master"]
+# Letters that begin a part of a transform in an upload address.
+TRANSFORM_KEYS = ["ar", "c", "dpr", "f", "fl", "g", "h", "q", "r", "t", "w", "x", "y", "z"]
 # Words of an address or label and the kind of facts panel they show, first match wins.
 FACTS_KINDS = [("drug[-_ ]?facts", "drug_facts"), ("supplement[-_ ]?facts", "supplement_facts"), ("product[-_ ]?facts", "product_facts"), ("nutrition[-_ ]?(facts|information|label)", "nutrition_facts")]
+_SIZES = "|".join(SIZE_WORDS)
+
+
+def _is_size(piece: Column, least: int = 0) -> Column:
+    """Whether a piece of a name is WIDTHxHEIGHT: two to five digits on one side and at least `least` (else none) on the other."""
+    sides = F.split(F.lower(piece), "x")
+    a, b = F.length(F.get(sides, 0)), F.length(F.get(sides, 1))
+    digits = F.forall(sides, lambda s: s.rlike(r"^\d{0,5}$"))
+    return F.coalesce((F.size(sides) == 2) & digits & (F.greatest(a, b) >= 2) & (F.least(a, b) >= least), F.lit(False))
+
+
+def _file(name: Column, bare_stem: Callable[[Column], Column]) -> Column:
+    """A file name whose stem is replaced by `bare_stem` of it, where it ends like a picture."""
+    cut = F.split(name, r"\.(?=[^.]*$)")
+    stem, ending = F.get(cut, 0), F.get(cut, 1)
+    return F.when(F.lower(ending).isin(ENDINGS), F.concat(bare_stem(stem), F.lit("."), ending)).otherwise(name)
+
+
+def _without_dash_size(stem: Column) -> Column:
+    pieces = F.split(stem, "-")
+    return F.when((F.size(pieces) > 1) & _is_size(F.get(pieces, F.size(pieces) - 1), 2), F.array_join(F.slice(pieces, 1, F.size(pieces) - 1), "-")).otherwise(stem)
+
+
+def _without_size_word(stem: Column) -> Column:
+    pieces, n = F.split(stem, "_"), F.size(F.split(stem, "_"))
+    cropped = (n > 3) & (F.lower(F.get(pieces, n - 2)) == "crop") & F.get(pieces, n - 1).rlike("(?i)^[a-z]+$")
+    m = F.when(F.coalesce(cropped, F.lit(False)), n - 2).otherwise(n)
+    last = F.get(pieces, m - 1)
+    return F.when((m > 1) & (F.lower(last).isin(SIZE_WORDS) | _is_size(last)), F.array_join(F.slice(pieces, 1, m - 1), "_")).otherwise(stem)
+
+
+@dataclass(frozen=True)
+class Platform:
+    """How one platform writes transformed pictures: where it applies (host, path segments), what each segment becomes (null drops it),
+    query keys that transform, and what of an address its pictures are approved by together."""
+
+    name: str
+    applies: Callable[[Column, Column], Column]
+    segment: Callable[[Column, Column, Column], Column]
+    keys: tuple[str, ...] = ()
+    group: Callable[[Column], Column] | None = None
+
+
+def _after(segments: Column, i: Column, *names: str) -> Column:
+    """Whether the segments before place i are these names."""
+    ok = i >= len(names)
+    for back, name in enumerate(reversed(names), 1):
+        ok = ok & (F.lower(F.get(segments, i - back)) == name)
+    return F.coalesce(ok, F.lit(False))
+
+
+def _holds(segments: Column, *names: str) -> Column:
+    return F.contains(F.concat(F.lit("/"), F.array_join(segments, "/"), F.lit("/")), F.lit("/" + "/".join(names) + "/"))
+
+
+def _last(segments: Column, i: Column) -> Column:
+    return i == F.size(segments) - 1
+
+
+def _cache_part(x: Column, i: Column, s: Column) -> Column:
+    key = lambda c: F.coalesce(c.rlike("(?i)^[a-f0-9]{16,64}$"), F.lit(False))
+    return (_after(s, i, "media", "catalog", "product") & (F.lower(x) == "cache") & key(F.get(s, i + 1)) & (i + 2 < F.size(s))) | (_after(s, i, "media", "catalog", "product", "cache") & key(x) & (i + 1 < F.size(s)))
+
+
+def _transforms(x: Column) -> Column:
+    parts = F.split(x, ",")
+    return F.forall(parts, lambda p: F.lower(F.element_at(F.split(p, "_"), 1)).isin(TRANSFORM_KEYS) & p.rlike("^[^_]+_."))
+
+
+#: The platforms in the order they are tried.
+PLATFORMS = [
+    Platform("magento_catalog_cache", lambda h, s: _holds(s, "cache"), lambda x, i, s: F.when(~_cache_part(x, i, s), x), group=lambda s: F.get(s, F.array_position(s, "cache").cast("int"))),
+    Platform("wordpress_dimensions", lambda h, s: _holds(s, "wp-content", "uploads"), lambda x, i, s: F.when(_last(s, i), _file(x, _without_dash_size)).otherwise(x)),
+    Platform(
+        "shopify_transform", lambda h, s: (h == "cdn.shopify.com") | _holds(s, "cdn", "shop"), lambda x, i, s: F.when(_last(s, i), _file(x, _without_size_word)).otherwise(x), ("width", "height"),
+        lambda s: F.when(_holds(s, "cdn", "shop"), F.lit("storefront")).otherwise(F.array_join(F.slice(F.filter(s, lambda x: x != ""), 1, 4), "/")),
+    ),
+    Platform("bigcommerce_stencil", lambda h, s: _holds(s, "images", "stencil"), lambda x, i, s: F.when(_after(s, i, "images", "stencil") & _is_size(x, 2) & F.coalesce(F.lower(F.get(s, i + 1)) == "products", F.lit(False)), F.lit("original")).otherwise(x)),
+    Platform("cloudinary_transform", lambda h, s: h == "res.cloudinary.com", lambda x, i, s: F.when(~(_after(s, i, "image", "upload") & _transforms(x) & ~_last(s, i)), x), group=lambda s: F.get(s, 1)),
+    Platform("imagekit_transform", lambda h, s: h == "ik.imagekit.io", lambda x, i, s: F.when(~(F.startswith(F.lower(x), F.lit("tr:")) & ~_last(s, i)), x), ("tr",), lambda s: F.get(s, 1)),
+]
 
 
 def original(url: Column) -> Column:
-    """IMG-01: struct(original, resolver) of the untransformed picture behind a known transform, null for other addresses; first match wins."""
-    base = F.regexp_extract(url, r"^([^?#]*)", 1)
-    h, q = U.full_host(url), F.regexp_extract(url, r"(\?[^#]*)", 1)
-    pair = lambda c, name: F.struct(c.alias("original"), F.lit(name).alias("resolver"))
-    magento = F.regexp_replace(url, r"(?i)(/media/catalog/product)/cache/[a-f0-9]{16,64}/", "$1/")
-    wordpress = F.regexp_replace(url, rf"(?i)-\d{{2,5}}x\d{{2,5}}(?={_ENDING}(?:[?#]|$))", "")
-    bare = F.regexp_replace(base, rf"(?i)_(?:{_SIZES}|\d{{2,5}}x\d{{0,5}}|\d{{0,5}}x\d{{2,5}})(?:_crop_[a-z]+)?(?={_ENDING}$)", "")
-    kept = F.array_join(F.filter(U.query_parts(url), lambda p: ~p.rlike("^(width|height)=")), "&")
-    shop = F.concat(bare, F.when(kept != "", F.concat(F.lit("?"), kept)).otherwise(""))
-    stencil = F.regexp_replace(url, r"(?i)(/images/stencil/)\d{2,5}x\d{2,5}(/products/)", "$1original$2")
-    cloud = F.regexp_replace(url, r"(?i)(/image/upload/)(?:(?:ar|c|dpr|f|fl|g|h|q|r|t|w|x|y|z)_[^/,]+(?:,(?=\w))?)+/", "$1")
-    kit = F.concat(F.regexp_replace(base, r"(?i)/tr:[^/]+/", "/"), F.regexp_replace(q, r"(?<=[?&])tr=[^&]*&?", ""))
-    kit = F.regexp_replace(kit, r"[?&]$", "")
-    return (
-        F.when(magento != url, pair(magento, "magento_catalog_cache"))
-        .when(url.contains("/wp-content/uploads/") & (wordpress != url), pair(wordpress, "wordpress_dimensions"))
-        .when(((h == "cdn.shopify.com") | url.contains("/cdn/shop/")) & (shop != url), pair(shop, "shopify_transform"))
-        .when(stencil != url, pair(stencil, "bigcommerce_stencil"))
-        .when((h == "res.cloudinary.com") & (cloud != url), pair(cloud, "cloudinary_transform"))
-        .when((h == "ik.imagekit.io") & (kit != url), pair(kit, "imagekit_transform"))
-    )
+    """IMG-01: struct(original, resolver, validation_group) of the untransformed picture behind a known transform of an http(s) address, null
+    for other addresses; the first platform that changes the address counts. An address is rewritten segment by segment of its path."""
+    root = F.regexp_extract(url, r"(?i)^((?:https?:)?//[^/?#]+)", 1)
+    path = F.regexp_extract(url, r"(?i)^(?:https?:)?//[^/?#]+([^?#]*)", 1)
+    tail = F.regexp_extract(url, r"(#.*)$", 1)
+    host = F.lower(F.regexp_extract(root, "//(?:[^@]*@)?([^:]*)", 1))
+    query = F.regexp_extract(url, r"^[^?#]*(\?[^#]*)", 1)
+
+    def of(p: Platform) -> Callable[[Column], Column]:
+        def build(s: Column) -> Column:
+            rewritten = F.array_join(F.filter(F.transform(s, lambda x, i: p.segment(x, i, s)), lambda x: x.isNotNull()), "/")
+            kept = query
+            if p.keys:
+                parts = F.filter(F.split(F.substr(query, F.lit(2)), "&"), lambda q: (q != "") & ~F.element_at(F.split(q, "="), 1).isin(*p.keys))
+                kept = F.when(F.size(parts) > 0, F.concat(F.lit("?"), F.array_join(parts, "&"))).otherwise("")
+            new = F.concat(root, rewritten, kept, tail)
+            group = F.concat_ws(":", F.lit(p.name), F.lower(root), *([p.group(s)] if p.group else []))
+            return F.when((root != "") & p.applies(host, s) & (new != url), F.struct(new.alias("original"), F.lit(p.name).alias("resolver"), group.alias("validation_group")))
+
+        return build
+
+    return F.coalesce(*[bind(F.split(path, "/"), of(p)) for p in PLATFORMS])
 
 
 def proxy_target(url: Column) -> Column:
-    """IMG-02: the picture behind a resizing proxy that takes its address as ?url=, null for others."""
-    inner = F.regexp_extract(url, r"(?i)/(?:_next/image|_vercel/image|image-proxy)[^?]*\?(?:[^#]*&)?url=([^&#]+)", 1)
-    return F.when(inner != "", F.try_url_decode(inner))
+    """IMG-02: the picture behind a resizing proxy, null for others: an http(s) picture address given as img= or image= to a thumb.php,
+    image.php, resize.php or proxy.php, or as url= to an image handler of a site generator."""
+    script = F.regexp_extract(url, r"(?i)(?:thumb|image|resize|proxy)\.php\?(?:[^#]*&)?(?:img|image)=([^&#]+)", 1)
+    script = F.try_url_decode(F.nullif(script, F.lit("")))
+    script = F.when(script.rlike(r"(?i)^https?://") & F.lower(F.regexp_extract(script, r"\.(\w+)(?:[?#]|$)", 1)).isin(ENDINGS), script)
+    handler = F.regexp_extract(url, r"(?i)/(?:_next/image|_vercel/image|image-proxy)[^?]*\?(?:[^#]*&)?url=([^&#]+)", 1)
+    return F.coalesce(script, F.try_url_decode(F.nullif(handler, F.lit(""))))
 
 
 def identity(url: Column) -> Column:
@@ -90,7 +181,12 @@ def basename_key(url: Column) -> Column:
 def tier(field: Column) -> Column:
     """IMG-10: 3 for a key that names a full-size picture, 2 for a plain one, else 1."""
     low = F.lower(field)
-    return F.when(low.rlike("full|large|zoom|original|master"), 3).when(low.rlike("img|image|src"), 2).otherwise(1)
+    return F.when(low.isin("full", "large", "zoom", "original", "master"), 3).when(low.isin("img", "image", "src"), 2).otherwise(1)
+
+
+def facts_rank(kind: Column) -> Column:
+    """IMG-13: 1 for a picture that names its facts panel, 2 for one that may show it, null for the rest."""
+    return F.when(kind.isin([k for _, k in FACTS_KINDS]), 1).when(kind != "ignore", 2)
 
 
 def facts_kind(url: Column, alt: Column, pos: Column) -> Column:

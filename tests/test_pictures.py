@@ -10,9 +10,9 @@ def test_hints(spark):
 
 
 def test_candidates(spark):
-    data = [("p", 0, "https://a/x.jpg", None, 70), ("p", 1, "http://a/x.jpg", "gallery", 70), ("p", 2, "https://a/y.jpg", "decorative", 95), ("p", 3, "https://a/z.jpg", "facts", 200), ("q", 0, "https://a/x.jpg", None, 1)]
-    df = spark.createDataFrame(data, "page string, idx int, url string, label string, base int")
-    assert rows(P.resolve_candidates(df).select("page", "url", "score", "rank")) == [("p", "http://a/x.jpg", 100, 1), ("p", "https://a/y.jpg", 77, 2), ("q", "https://a/x.jpg", 1, 1)]
+    data = [("p", 0, "https://a/x.jpg", None, "img_src", False, 70), ("p", 1, "http://a/x.jpg", ["gallery"], "meta", True, 70), ("p", 2, "https://a/y.jpg", ["decorative", "gallery"], "anchor_href", None, 95), ("p", 3, "https://a/z.jpg", ["facts"], "meta", True, 200), ("q", 0, "https://a/x.jpg", [], "elsewhere", False, 1)]
+    df = spark.createDataFrame(data, "page string, idx int, url string, labels array<string>, source string, in_gallery boolean, base int")
+    assert rows(P.resolve_candidates(df).select("page", "url", "score", "rank")) == [("p", "http://a/x.jpg", 144, 2), ("p", "https://a/y.jpg", 147, 1), ("q", "https://a/x.jpg", 1, 1)]
     assert P.resolve_candidates(df, n=1).count() == 2 and P.resolve_candidates(df.limit(0)).collect() == []
 
 
@@ -26,6 +26,6 @@ def test_upgrades(spark):
     data = [("s", i, f"https://a/wp-content/uploads/{i}-300x200.png") for i in range(4)] + [("s", 9, "https://a/cdn/shop/x_large.jpg"), ("s", 10, "https://a/plain.jpg")]
     df = spark.createDataFrame(data, "site string, idx int, url string")
     assert P.groups_to_probe(df).count() == 3
-    probes = spark.createDataFrame([("s", "wordpress_dimensions", True, 900), ("s", "wordpress_dimensions", True, 1000), ("s", "shopify_transform", True, 300)], "site string, grp string, is_image boolean, side int")
+    probes = spark.createDataFrame([("s", "wordpress_dimensions:https://a", True, 900), ("s", "wordpress_dimensions:https://a", True, 1000), ("s", "shopify_transform:https://a:storefront", True, 300)], "site string, grp string, is_image boolean, side int")
     got = {r["idx"]: r["url"] for r in P.upgrade(df, probes).collect()}
     assert got[0] == "https://a/wp-content/uploads/0.png" and got[9].endswith("x_large.jpg") and got[10] == "https://a/plain.jpg"

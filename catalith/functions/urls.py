@@ -56,10 +56,19 @@ TWO_LABEL_SUFFIXES = [
 PRODUCT_SEGMENTS = ["product", "products", "produs", "produit", "producto", "produkt", "item", "p"]
 LISTING_SEGMENTS = ["collection", "collections", "category", "categories", "catalog", "shop", "store", "menu", "products", "produkty", "produits", "productos", "produkte"]
 BLOCKING_SEGMENTS = ["menu", "category", "categories", "collection", "collections", "catalog", "shop", "store"]
-SERVICE_SEGMENTS = ["cart", "basket", "checkout", "account", "login", "register", "wishlist", "search", "blog", "news", "contact", "about", "privacy", "terms", "faq", "order", "compare", "producer", "producers", "brand", "brands"]
+SERVICE_SEGMENTS = ["cart", "basket", "checkout", "account", "login", "register", "wishlist", "search", "blog", "news", "contact", "about", "privacy", "terms", "faq", "order", "compare", "client-", "producer", "producers", "brand", "brands"]
 LOCALE_PAGES = ["global", "locale", "language", "languages", "region", "regions", "country", "countries"]
 STATIC_EXTENSIONS = ["jpg", "jpeg", "png", "webp", "gif", "svg", "css", "js", "xml", "json", "pdf", "zip", "woff", "woff2"]
-VARIANT_KEYS = ["variant", "variation", "sku", "option", "size", "color", "colour", "flavor", "flavour", "pack", "count", "strength"]
+POLICY_PAGES = ["privacy cookie", "privacy cookies", "privacy and cookie", "privacy and cookies", "privacycookies", "cookie", "cookies", "cookie policy", "cookies policy", "privacy policy", "terms", "terms and conditions", "about", "about us", "contact", "contact us"]
+# Codes before a number that mark the page of a listing.
+LISTING_CODES = ["k", "cat", "category", "collection", "brand", "producer", "p"]
+# Query keys that select a variant, without their separators, and keys that never do.
+VARIANT_KEYS = ["variant", "variantid", "selectedvariant", "option", "options", "optionid", "optionsid", "attribute", "attributes", "superattribute", "selectedsize", "selectedflavor", "selectedflavour", "selectedcolor", "selectedcolour", "selectedpack", "selectedpackage", "selectedpacksize", "selectedpackagesize"]
+NO_VARIANT_KEYS = ["categorycode", "fbclid", "gclid", "currency", "lang", "locale"]
+
+# Path segments that are no part of a catalogue, and those of another site's listings.
+NO_CATALOGUE = ["cart", "basket", "checkout", "account", "login", "register", "wishlist", "search", "blog", "news", "contact", "about", "privacy", "terms", "faq", "compare", "carrito", "cuenta", "buscar", "contacto", "acerca", "privacidad", "condiciones", "preguntas-frecuentes"]
+EXTERNAL_LISTINGS = ["brand", "brands", "category", "categories", "collection", "collections", "catalog", "shop", "store", "menu", "znacka", "marca", "marcas"]
 
 
 def full_host(url: Column) -> Column:
@@ -81,8 +90,11 @@ def is_http(url: Column) -> Column:
 
 
 def origin(url: Column) -> Column:
-    """URL-09: scheme and host of an http(s) address in lower case, null otherwise."""
-    return F.when(is_http(url), F.concat(F.lower(F.regexp_extract(F.trim(url), r"^(https?)(?=://)|^(?i:(https?))(?=://)", 0)), F.lit("://"), full_host(url)))
+    """URL-09: scheme, host in lower case and port (unless the usual one) of an http(s) address, null otherwise."""
+    scheme = F.lower(F.regexp_extract(F.trim(url), r"(?i)^(https?)://", 1))
+    port = F.regexp_extract(F.trim(url), r"(?i)^https?://[^/?#]*?:(\d+)(?=[/?#]|$)", 1)
+    usual = (port == "") | ((scheme == "http") & (port == "80")) | ((scheme == "https") & (port == "443"))
+    return F.when(is_http(url), F.concat(scheme, F.lit("://"), full_host(url), F.when(usual, "").otherwise(F.concat(F.lit(":"), port))))
 
 
 def same_site(a: Column, b: Column) -> Column:
@@ -118,41 +130,62 @@ def is_rejected(url: Column) -> Column:
     s = _segments(url)
     only = F.when(F.size(s) == 1, F.try_element_at(s, F.lit(1)))
     static = F.lower(path(url)).rlike(r"\.(" + "|".join(STATIC_EXTENSIONS) + ")$")
-    policy = only.rlike(r"^(privacy|terms|cookies?|about|contact)([-_].*)?$")
-    blog = F.exists(s, lambda x: x.rlike(r"^blog(-.*)?$"))
+    policy = F.array_join(F.flatten(F.transform(s, lambda x: F.split(x, "-"))), " ").isin(POLICY_PAGES)
+    blog = F.exists(s, lambda x: x.rlike(r"^blog(-.*)?$")) | F.coalesce(F.try_element_at(s, F.lit(-1)).rlike(r"-blog\d+\.html$"), F.lit(False))
     return F.coalesce(~is_http(url) | has_placeholder(url) | (F.size(s) == 0) | static | blog | F.coalesce(only.isin(LOCALE_PAGES), F.lit(False)) | F.coalesce(policy, F.lit(False)) | F.arrays_overlap(s, F.array(*[F.lit(x) for x in SERVICE_SEGMENTS])), F.lit(True))
 
 
+def is_listing_code(url: Column) -> Column:
+    """URL-05: a page name that ends in a listing's code and number, such as teas-cat12.html."""
+    return F.coalesce(F.try_element_at(_segments(url), F.lit(-1)).rlike(r".-(" + "|".join(LISTING_CODES) + r")\d+\.html$"), F.lit(False))
+
+
 def is_product(url: Column) -> Column:
     """URL-04: looks like the page of one product."""
     s = _segments(url)
-    before = F.slice(s, 1, F.greatest(F.size(s) - 1, F.lit(0)))
+    closed = F.regexp_extract(F.trim(url), r"^([^?#]*)", 1).endswith("/")
+    before = F.slice(s, 1, F.greatest(F.size(s) - F.when(closed, 0).otherwise(1), F.lit(0)))
     has = lambda names: F.arrays_overlap(before, F.array(*[F.lit(x) for x in names]))
     listed = F.arrays_overlap(s, F.array(*[F.lit(x) for x in BLOCKING_SEGMENTS]))
-    numbered = F.coalesce(F.try_element_at(s, F.lit(-1)).rlike(r"-\d{3,}\.html$"), F.lit(False))
-    return ~is_rejected(url) & F.when(listed, has([p for p in PRODUCT_SEGMENTS if p not in ("item", "p", "produkt")])).otherwise(has(PRODUCT_SEGMENTS) | numbered)
+    name = F.when(~closed, F.try_element_at(s, F.lit(-1)))
+    numbered = F.coalesce(name.rlike(r".-opis\d+\.html$") | name.rlike(r".-\d{3,}\.html$") | name.rlike(r"^p\d{3,}[-_].+\.(php|html?)$"), F.lit(False))
+    return ~is_rejected(url) & ~is_listing_code(url) & F.when(listed, has([p for p in PRODUCT_SEGMENTS if p not in ("item", "p", "produkt")])).otherwise(has(PRODUCT_SEGMENTS) | numbered)
 
 
 def is_category(url: Column) -> Column:
-    """URL-05: looks like a listing: neither rejected nor a product, with a listing segment."""
-    return ~is_rejected(url) & ~is_product(url) & F.arrays_overlap(_segments(url), F.array(*[F.lit(x) for x in LISTING_SEGMENTS]))
+    """URL-05: looks like a listing: neither rejected nor a product, with a listing segment or a listing's code."""
+    return ~is_rejected(url) & ~is_product(url) & (F.arrays_overlap(_segments(url), F.array(*[F.lit(x) for x in LISTING_SEGMENTS])) | is_listing_code(url))
 
 
 def page_number(url: Column, text: Column | None = None) -> Column:
-    """URL-10: page number from the link's text, else from counter (+1), page, p or paged, else from /page/N; null where there is none."""
+    """URL-10: page number from the link's text, else from counter (+1), page, p or paged, else from /page/N; null where there is none.
+
+    A page number has one to four digits by definition: a longer number in these places is an id and no page."""
     by_key = lambda k: F.regexp_extract(url, rf"(?i)[?&]{k}=(\d{{1,4}})(?:[&#]|$)", 1).try_cast("int")
     options = [F.when(F.trim(text).rlike(r"^\d{1,4}$"), F.trim(text).try_cast("int"))] if text is not None else []
     return F.coalesce(*options, by_key("counter") + 1, by_key("page"), by_key("p"), by_key("paged"), F.regexp_extract(path(url), r"(?i)/page/(\d{1,4})(?:/|$)", 1).try_cast("int"))
 
 
 def variant_url(url: Column) -> Column:
-    """URL-08: only the keys that select a variant, in binary order; '' for no address."""
+    """URL-08: only the keys that select a variant, in binary order of the keys, equal keys as written; '' for no address."""
     key = lambda p: F.lower(F.element_at(F.split(p, "="), 1))
-    kept = F.array_sort(F.filter(query_parts(url), lambda p: key(p).isin(VARIANT_KEYS)))
+    selects = lambda p: F.regexp_replace(key(p), "(?<=[a-z])[_-](?=[a-z])", "").isin(VARIANT_KEYS) & ~key(p).isin(NO_VARIANT_KEYS) & ~key(p).startswith("utm_")
+    kept = F.transform(F.array_sort(F.transform(F.filter(query_parts(url), selects), lambda p, i: F.struct(F.element_at(F.split(p, "="), 1).alias("k"), i.alias("i"), p.alias("p")))), lambda x: x["p"])
     base = F.regexp_extract(F.trim(url), r"^([^?#]*)", 1)
     return F.when(is_http(url), F.concat(base, F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise(""))).otherwise("")
 
 
+def without_dots(path_and_query: Column) -> Column:
+    """A path with its dot segments taken out, however many: '..' takes the segment before it, none above the root; query and fragment stay."""
+    p, rest = F.regexp_extract(path_and_query, r"^([^?#]*)", 1), F.regexp_extract(path_and_query, r"(?s)^[^?#]*(.*)$", 1)
+    segments = F.slice(F.split(p, "/"), 2, F.size(F.split(p, "/")))
+    last = F.try_element_at(segments, F.lit(-1))
+    step = lambda kept, s: F.when(s == "..", F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0)))).when(s == ".", kept).otherwise(F.array_append(kept, s))
+    walked = F.aggregate(segments, F.array().cast("array<string>"), step)
+    closed = F.when(last.isin(".", "..") & (F.size(walked) > 0), "/").otherwise("")
+    return F.concat(F.lit("/"), F.array_join(walked, "/"), closed, rest)
+
+
 def resolved(base: Column, href: Column) -> Column:
     """URL-11: an href made absolute against its page, for absolute, scheme-relative, root-relative, query and relative forms, dots removed."""
     b = F.regexp_extract(F.trim(base), r"^([^?#]*)", 1)
@@ -160,12 +193,9 @@ def resolved(base: Column, href: Column) -> Column:
     folder = F.regexp_replace(F.regexp_replace(b, r"(?i)^https?://[^/]+", ""), r"[^/]*$", "")
     h = F.trim(href)
     joined = F.concat(F.when(folder == "", "/").otherwise(folder), h)
-    clean = joined
-    for _ in range(4):
-        clean = F.regexp_replace(F.regexp_replace(clean, r"/\./", "/"), r"/[^/.][^/]*/\.\./", "/")
     return (
-        F.when(h.rlike(r"(?i)^https?://"), h).when(h.startswith("//"), F.concat(F.regexp_extract(b, r"^([A-Za-z]+:)", 1), h)).when(h.startswith("/"), F.concat(root, h))
-        .when(h.startswith("?"), F.concat(b, h)).when(h.rlike(r"(?i)^(javascript|mailto|tel|data):") | h.startswith("#") | (h == ""), F.lit(None).cast("string")).otherwise(F.concat(root, F.regexp_replace(clean, r"^/(\.\./)+", "/")))
+        F.when(h.rlike(r"(?i)^https?://"), h).when(h.startswith("//"), F.concat(F.regexp_extract(b, r"^([A-Za-z]+:)", 1), h)).when(h.startswith("/"), F.concat(root, without_dots(h)))
+        .when(h.startswith("?"), F.concat(b, h)).when(h.rlike(r"(?i)^(javascript|mailto|tel|data):") | h.startswith("#") | (h == ""), F.lit(None).cast("string")).otherwise(F.concat(root, without_dots(joined)))
     )
 
 
@@ -173,3 +203,30 @@ def file_key(url: Column, mime: Column) -> Column:
     """SRC-11: name under which a fetched picture is stored: sixteen digits of the address's SHA-1 and an extension by type."""
     ext = F.when(mime.contains("png"), ".png").when(mime.contains("webp"), ".webp").when(mime.contains("gif"), ".gif").otherwise(".jpg")
     return F.concat(F.substring(F.sha1(url), 1, 16), ext)
+
+
+def is_safe_catalogue(base: Column, url: Column, follow_external: bool = False, excluded_hosts: str | None = None) -> Column:
+    """URL-12: whether a crawl that started at `base` may follow an address: http(s), of the same site (others only with `follow_external`, then
+    no host matching `excluded_hosts` and no listing of theirs), not its own front page, no service page and no static file; null counts as not."""
+    same = same_site(base, url)
+    s = _segments(url)
+    outside = F.arrays_overlap(s, F.array(*[F.lit(x) for x in EXTERNAL_LISTINGS]))
+    if excluded_hosts:
+        outside = outside | full_host(url).rlike(excluded_hosts)
+    own_root = (origin(base) == origin(url)) & (F.size(s) == 0)
+    static = F.lower(path(url)).rlike(r"\.(" + "|".join(STATIC_EXTENSIONS) + ")$")
+    service = F.arrays_overlap(s, F.array(*[F.lit(x) for x in NO_CATALOGUE]))
+    return F.coalesce(is_http(url) & is_http(base) & (same | (F.lit(follow_external) & ~outside)) & ~own_root & ~static & ~service, F.lit(False))
+
+
+def site_of(value: Column) -> Column:
+    """Host in lower case, without www., of an address or a bare domain; null for blanks and for what is neither."""
+    bare = F.when(F.trim(value).rlike("(?i)^https?://"), F.trim(value)).otherwise(F.concat(F.lit("https://"), F.trim(value)))
+    return F.when((F.trim(value) != "") & host(bare).contains("."), host(bare))
+
+
+def export_domain(candidates: list[Column], explicit: Column | None = None, mapped: Column | None = None) -> Column:
+    """URL-13: domain of a record: the explicit one, else the one its origin is mapped to, else the registrable domain of the first candidate that is an address or domain; null for none."""
+    first = F.coalesce(*[site_of(c) for c in candidates])
+    given = [site_of(c) for c in (explicit, mapped) if c is not None]
+    return F.coalesce(*given, registrable_domain(F.concat(F.lit("https://"), first)))

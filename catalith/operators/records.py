@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 from catalith.functions import images as I
 from catalith.functions import text as T
 from catalith.functions import urls as U
+from catalith.functions.quantities import bind
 
 #: Most options a variant state keeps.
 MAX_OPTIONS = 24
 #: Most sources and conflicts kept per field.
 MAX_SOURCES = 12
+# Periods units sold may be counted over.
+SOLD_PERIODS = ["trailing_30d", "monthly", "lifetime", "unknown"]
 
 
 def first_filled(*columns: Column) -> Column:
@@ -31,17 +34,24 @@ def missing_fields(wanted: dict[str, Column]) -> Column:
 
 
 def normalised_options(options: Column) -> Column:
-    """PRJ-02: options as array of struct(name, value): trimmed, empty ones dropped, doubles by lower-case name and value dropped, at most 24."""
-    clean = F.filter(F.transform(options, lambda o: F.struct(F.trim(o["name"]).alias("name"), F.trim(o["value"]).alias("value"))), lambda o: (o["name"] != "") & (o["value"] != ""))
+    """PRJ-02: options as array of struct(name, value): blanks squeezed, options without name and value dropped, of equal lower-case name and value
+    the first kept, in order, at most 24 (the feature's bound). `options` is an array of struct(name, value) or a map; null gives null."""
+    squeezed = lambda c: F.coalesce(T.squeeze(c), F.lit(""))
+    clean = F.filter(F.transform(options, lambda o: F.struct(squeezed(o["name"]).alias("name"), squeezed(o["value"]).alias("value"))), lambda o: (o["name"] != "") | (o["value"] != ""))
     key = lambda o: F.concat(F.lower(o["name"]), F.lit("="), F.lower(o["value"]))
-    return F.slice(F.filter(clean, lambda o, i: ~F.exists(F.slice(clean, 1, i), lambda x: key(x) == key(o))), 1, MAX_OPTIONS)
+    return bind(clean, lambda c: bind(F.transform(c, key), lambda k: F.slice(F.filter(c, lambda o, i: F.array_position(k, key(o)) == i + 1), 1, MAX_OPTIONS)))
+
+
+def option_map(options: Column) -> Column:
+    """PRJ-02: options given as a map of names to values, as the array normalised_options takes."""
+    return F.transform(F.map_entries(options), lambda e: F.struct(e["key"].alias("name"), e["value"].alias("value")))
 
 
 def variant_identity(variant_id: Column, sku: Column, options: Column, url: Column) -> Column:
-    """PRJ-03: id:, sku:, options: or url: (only with a query), the first that is given; '' for none."""
-    pairs = F.array_sort(F.transform(options, lambda o: F.concat(F.lower(o["name"]), F.lit("="), F.lower(o["value"]))))
+    """PRJ-03: id:, sku:, options: (in their order) or url: (only with a query), the first that is given, in lower case but for the address; '' for none."""
+    pairs = F.transform(normalised_options(options), lambda o: F.concat(F.lower(o["name"]), F.lit("="), F.lower(o["value"])))
     v = U.variant_url(url)
-    return F.coalesce(F.concat(F.lit("id:"), T.squeeze(variant_id)), F.concat(F.lit("sku:"), F.lower(T.squeeze(sku))), F.when(F.size(pairs) > 0, F.concat(F.lit("options:"), F.array_join(pairs, "|"))), F.when(v.contains("?"), F.concat(F.lit("url:"), v)), F.lit(""))
+    return F.coalesce(F.concat(F.lit("id:"), F.lower(T.squeeze(variant_id))), F.concat(F.lit("sku:"), F.lower(T.squeeze(sku))), F.when(F.size(pairs) > 0, F.concat(F.lit("options:"), F.array_join(pairs, "|"))), F.when(v.contains("?"), F.concat(F.lit("url:"), v)), F.lit(""))
 
 
 def variant_label(options: Column, title: Column) -> Column:
@@ -90,7 +100,7 @@ def expand_variants(records: DataFrame, variants: str = "variants", images: str
 def title_case(text: Column) -> Column:
     """PRJ-10: upper-case letters after start, blank, slash and hyphen of an all lower-case text; other texts stay."""
     def upper(t: Column, sep: str) -> Column:
-        return F.array_join(F.transform(F.split(t, sep), lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.expr("''"), F.substring(w, 2, 10_000))), sep)
+        return F.array_join(F.transform(F.split(t, sep), lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.expr("''"), F.substr(w, F.lit(2)))), sep)
 
     return F.when(text == F.lower(text), upper(upper(upper(text, " "), "/"), "-")).otherwise(text)
 
@@ -148,11 +158,12 @@ def merge_ingredients(items: DataFrame, key: list[str], order: str, newer_wins:
 
 
 def export_projection(records: DataFrame) -> DataFrame:
-    """PRJ-08: guards of the export: rating within 0 to 5, whole non-negative counts, units sold only with a known period; null is absent."""
+    """PRJ-08: guards of the export: rating within 0 to 5, counts of 0 or more, a sales rank above 0, units sold and their period only together and with a
+    known period; null is absent."""
     whole = lambda c: F.when(F.col(c) >= 0, F.col(c))
-    period = F.col("units_sold_period").isin("day", "week", "month", "year", "24h", "7d", "30d", "lifetime")
+    period = F.trim("units_sold_period").isin(SOLD_PERIODS)
     return records.withColumns({
-        "rating": F.when((F.col("rating") >= 0) & (F.col("rating") <= 5), F.col("rating")), "review_count": whole("review_count"), "sales_rank": whole("sales_rank"),
-        "units_sold": F.when(period, whole("units_sold")), "units_sold_period": F.when(period & (F.col("units_sold") >= 0), F.col("units_sold_period")),
+        "rating": F.when((F.col("rating") >= 0) & (F.col("rating") <= 5), F.col("rating")), "review_count": whole("review_count"), "sales_rank": F.when(F.col("sales_rank") > 0, F.col("sales_rank")),
+        "units_sold": F.when(period, whole("units_sold")), "units_sold_period": F.when(period & (F.col("units_sold") >= 0), F.trim("units_sold_period")),
         "images": F.filter("images", lambda i: F.coalesce(i["url"].rlike("(?i)^(https?:)?//"), F.lit(False))),
     })

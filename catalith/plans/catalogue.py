@@ -31,15 +31,19 @@ def query(sql: str | None = None) -> Callable:
     return register
 
 
-_SUFFIXES = ", ".join(f"'{s}'" for s in U.TWO_LABEL_SUFFIXES)
-_TRACK = "|".join(U.TRACKING_PREFIXES)
+# Lists of the SQL, kept apart from those of the library so that a slip in one shows against the other.
+_SUFFIXES = """
+'co.uk', 'org.uk', 'me.uk', 'ac.uk', 'gov.uk', 'ltd.uk', 'plc.uk', 'com.au', 'net.au', 'org.au', 'co.nz', 'net.nz', 'org.nz', 'co.za', 'org.za', 'web.za', 'co.jp', 'ne.jp', 'or.jp', 'gr.jp', 'co.kr', 'or.kr', 'ne.kr', 'com.br', 'net.br', 'org.br', 'com.mx', 'com.ar', 'com.co', 'com.pe', 'com.uy', 'com.ec',
+'com.ve', 'com.tr', 'com.cn', 'com.hk', 'com.tw', 'com.sg', 'com.my', 'com.ph', 'com.vn', 'co.in', 'co.id', 'co.th', 'co.il', 'com.sa', 'com.eg', 'com.ng', 'co.ke', 'com.pl', 'com.ua', 'com.gr', 'com.pt', 'com.ro'
+"""
+_TRACK = "categorycode|utm_|fbclid|gclid|currency|lang"
 _HOST = "rtrim(regexp_extract(lower(trim(product_url)), '^https?://(?:[^/?#@]*@)?([^/?#:]*)', 1), '.')"
 _PARTS = "list_filter(string_split(regexp_extract(product_url, '^[^?#]*[?]([^#]*)', 1), '&'), lambda p: p <> '')"
 _PATH = "regexp_replace(regexp_replace(regexp_extract(trim(product_url), '^(?:(?:[Hh][Tt][Tt][Pp][Ss]?:)?//[^/?#]*)?([^?#]*)', 1), '/{2,}', '/', 'g'), '/$', '')"
 _BARE_HOST = rf"regexp_replace({_HOST}, '^www[0-9]?\.', '')"
 _KEPT = f"list_sort(list_distinct(list_filter({_PARTS}, lambda p: NOT regexp_matches(lower(p), '^({_TRACK})'))))"
 _PAGE = f"{_BARE_HOST} || {_PATH} || CASE WHEN len({_KEPT}) > 0 THEN '?' || array_to_string({_KEPT}, '&') ELSE '' END"
-_FILLERS = ", ".join("'" + f.replace("'", "''") + "'" for f in T.FILLERS)
+_FILLERS = "'n/a', 'n.a.', 'n.a', 'na', 'n. a.', 'k. a.', 'k.a.', 'keine angabe', 'none', 'none given', 'null', 'nil', 'nan', 'undefined', 'unknown', 'not available', 'not specified', 'not given', 'tbd', 'tba', 'tbc', 'lorem', 'lorem ipsum', 'loading...', 'loading…', 'loading', 'placeholder', 'todo'"
 
 
 def _filled(c: str) -> str:
@@ -72,16 +76,17 @@ def url_normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "crawl").select("record_id", U.normalised(F.col("product_url")).alias("url"))
 
 
-_SEG = f"list_filter(string_split(lower({_PATH}), '/'), lambda s: s <> '')"
-
-
-@query(f"""
-WITH u AS (SELECT product_url, {_SEG} AS s FROM crawl),
-r AS (SELECT *, len(s) = 0 OR list_has_any(s, {U.SERVICE_SEGMENTS!r}) OR len(list_filter(s, lambda x: regexp_matches(x, '^blog(-.*)?$'))) > 0
-  OR (len(s) = 1 AND (list_contains({U.LOCALE_PAGES!r}, s[1]) OR regexp_matches(s[1], '^(privacy|terms|cookies?|about|contact)([-_].*)?$'))) AS rejected FROM u),
-p AS (SELECT *, NOT rejected AND CASE WHEN list_has_any(s, {U.BLOCKING_SEGMENTS!r}) THEN list_has_any(s[1:len(s)-1], {[x for x in U.PRODUCT_SEGMENTS if x not in ("item", "p", "produkt")]!r})
-  ELSE list_has_any(s[1:len(s)-1], {U.PRODUCT_SEGMENTS!r}) OR regexp_matches(s[-1], '-[0-9]{{3,}}\\.html$') END AS product FROM r)
-SELECT CASE WHEN rejected THEN 'rejected' WHEN product THEN 'product' WHEN list_has_any(s, {U.LISTING_SEGMENTS!r}) THEN 'category' ELSE 'other' END AS page_class, count(*) AS n
+@query(r"""
+WITH u AS (SELECT lower(regexp_extract(trim(product_url), '^(?:[Hh][Tt][Tt][Pp][Ss]?:)?//[^/?#]*([^?#]*)', 1)) AS path, regexp_matches(trim(product_url), '(?i)^https?://[^/?#]') AS http FROM crawl),
+n AS (SELECT http, path, regexp_replace(path, '/+$', '') AS bare FROM u),
+r AS (SELECT *, NOT http OR bare = '' OR regexp_matches(path, '[.](jpg|jpeg|png|webp|gif|svg|css|js|xml|json|pdf|zip|woff|woff2)$') OR regexp_matches(path, '(^|/)blog(-[^/]*)?(/|$)') OR regexp_matches(path, '-blog[0-9]+[.]html$')
+  OR bare IN ('/global', '/locale', '/language', '/languages', '/region', '/regions', '/country', '/countries')
+  OR regexp_replace(bare, '[-/]', ' ', 'g') IN (' privacy cookies', ' privacy and cookies', ' cookies', ' cookie', ' cookie policy', ' cookies policy', ' privacy policy', ' terms', ' terms and conditions', ' about', ' about us', ' contact', ' contact us')
+  OR regexp_matches(path, '/(cart|basket|checkout|account|login|register|wishlist|search|news|contact|about|privacy|terms|faq|client-|order|compare|producer|producers|brand|brands)(/|$)') AS rejected FROM n),
+c AS (SELECT *, regexp_matches(path, '[^/]-(k|cat|category|collection|brand|producer|p)[0-9]+[.]html$') AS code, regexp_matches(path, '/(menu|category|categories|collection|collections|catalog|shop|store)(/|$)') AS listed FROM r),
+p AS (SELECT *, NOT rejected AND NOT code AND CASE WHEN listed THEN regexp_matches(path, '/(product|products|produs|produit|producto)/')
+  ELSE regexp_matches(path, '/(product|products|produs|produit|producto|produkt|item|p)/') OR regexp_matches(path, '[^/](-opis[0-9]+|-[0-9]{3,})[.]html$') OR regexp_matches(path, '(^|/)p[0-9]{3,}[-_][^/]+[.](php|html?)$') END AS product FROM c)
+SELECT CASE WHEN rejected THEN 'rejected' WHEN product THEN 'product' WHEN code OR listed OR regexp_matches(path, '/(products|produkty|produits|productos|produkte)(/|$)') THEN 'category' ELSE 'other' END AS page_class, count(*) AS n
 FROM p GROUP BY 1
 """)
 def url_class(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,9 +118,7 @@ def price_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "enrich_product_output").filter("price IS NOT NULL").select("output_id", H.price_number(F.col("price")).cast("double").alias("amount"))
 
 
-_ENT = "t"
-for _e, _c in H.ENTITIES:
-    _ENT = f"replace({_ENT}, '{_e}', '{_c.replace(chr(39), chr(39) * 2)}')"
+_ENT = "replace(replace(replace(replace(replace(replace(replace(t, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&#39;', chr(39)), '&apos;', chr(39)), '&amp;', '&')"
 
 
 @query(rf"""
@@ -128,15 +131,16 @@ def text_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").filter("text IS NOT NULL").select("doc_id", F.sha2(H.to_text(F.col("text")), 256).alias("text_hash"))
 
 
-@query("""
-WITH i AS (SELECT record_id, unnest(fields.images) AS u FROM crawl)
-SELECT record_id, count(*) AS n_images, count(DISTINCT regexp_replace(regexp_replace(u, '#.*$', ''), '^(http:)?//', 'https://')) AS n_unique
-FROM i WHERE trim(u) <> '' GROUP BY 1
+@query(r"""
+WITH i AS (SELECT record_id, unnest(fields.images) AS u, generate_subscripts(fields.images, 1) AS pos FROM crawl),
+k AS (SELECT *, regexp_replace(regexp_replace(u, '#.*$', ''), '^(http:)?//', 'https://') AS id, CASE WHEN starts_with(u, 'https:') THEN 2 ELSE 0 END AS p, coalesce(try_cast(nullif(regexp_extract(u, '[?&](?:w|width)=([0-9]+)', 1), '') AS INTEGER), 0) AS w FROM i WHERE trim(u) <> ''),
+f AS (SELECT record_id, id, min(pos) AS first_pos, arg_max(u, struct_pack(p := p, w := w, o := -pos)) AS u, count(*) AS c FROM k GROUP BY 1, 2)
+SELECT record_id, CAST(sum(c) AS BIGINT) AS n_images, count(*) AS n_unique, string_agg(u, ' ' ORDER BY first_pos) AS chosen FROM f GROUP BY 1
 """)
 def image_identities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """IMG-02, IMG-03: pictures and different pictures of each record."""
+    """IMG-02, IMG-03, IMG-04: pictures of each record, how many are different, and the spelling chosen for each."""
     rows = table(spark, sf_dir, "crawl").select("record_id", F.filter("fields.images", lambda u: F.coalesce(F.trim(u) != "", F.lit(False))).alias("images"))
-    return rows.filter(F.size("images") > 0).select("record_id", F.size("images").cast("bigint").alias("n_images"), F.size(I.unique(F.col("images"))).cast("bigint").alias("n_unique"))
+    return rows.filter(F.size("images") > 0).select("record_id", F.size("images").cast("bigint").alias("n_images"), F.size(I.unique(F.col("images"))).cast("bigint").alias("n_unique"), F.array_join(I.unique(F.col("images")), " ").alias("chosen"))
 
 
 @query("SELECT output_id, substr(sha1(product_url), 1, 16) || '.jpg' AS file_name FROM enrich_product_output")
@@ -151,21 +155,9 @@ SELECT l_suppkey, CAST(sum(n) AS BIGINT) AS with_vendor, count(*) AS vendors, ma
 """)
 def site_retailer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG-01, AGG-02: vendor diversity of each site and whether it is a multi-brand retailer."""
-    items = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey").groupBy("l_suppkey", "l_partkey").agg(F.count(F.lit(1)).alias("c"))
-    joined = items.join(table(spark, sf_dir, "part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
-    per = joined.groupBy("l_suppkey", "p_brand").agg(F.sum("c").alias("n"))
-    out = per.groupBy("l_suppkey").agg(F.sum("n").cast("bigint").alias("with_vendor"), F.count(F.lit(1)).alias("vendors"), F.max("n").cast("bigint").alias("top_vendor"))
-    return out.withColumn("is_retailer", (F.col("with_vendor") >= stats.RETAILER_SAMPLE) & (F.col("vendors") >= stats.RETAILER_VENDORS) & (F.col("top_vendor") < F.lit(stats.RETAILER_SHARE) * F.col("with_vendor")))
-
-
-@query("""
-WITH v AS (SELECT domain, trim(external_id[1:1]) AS v, count(*) AS n FROM enrich_product_output WHERE trim(external_id) <> '' GROUP BY 1, 2)
-SELECT domain, CAST(sum(n) AS BIGINT) AS with_vendor, count(*) AS vendors, max(n) AS top_vendor, sum(n) >= 8 AND count(*) >= 6 AND max(n) < 0.6 * sum(n) AS is_retailer FROM v GROUP BY 1
-""")
-def vendor_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """AGG-01, SRC-02: the generic vendor counter over the sites of the export."""
-    rows = table(spark, sf_dir, "enrich_product_output").withColumn("vendor", F.substring("external_id", 1, 1))
-    return stats.vendor_diversity(rows, ["domain"], "vendor")
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    items = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey").join(parts, F.col("l_partkey") == F.col("p_partkey"))
+    return stats.vendor_diversity(items, ["l_suppkey"], "p_brand")
 
 
 _COVER = ["title", "price", "currency", "description", "ingredients", "supplement_facts", "sku", "form"]
@@ -244,7 +236,7 @@ def variant_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 SELECT record_id, CASE WHEN trim(fields.sku) <> '' THEN 'sku:' || lower(trim(fields.sku))
-  WHEN len(fields.variant_options) > 0 THEN 'options:' || array_to_string(list_sort(list_transform(fields.variant_options, lambda o: lower(o.name) || '=' || lower(o.value))), '|')
+  WHEN len(fields.variant_options) > 0 THEN 'options:' || array_to_string(list_transform(fields.variant_options, lambda o: lower(coalesce(trim(o.name), '')) || '=' || lower(coalesce(trim(o.value), ''))), '|')
   WHEN regexp_matches(product_url, '[?&]variant=') THEN 'url:' || regexp_extract(trim(product_url), '^([^?#]*)', 1) || '?' || regexp_extract(product_url, '[?&](variant=[^&#]*)', 1) ELSE '' END AS variant
 FROM crawl
 """)
@@ -254,10 +246,14 @@ def variant_identities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "crawl").select("record_id", v.alias("variant"))
 
 
-@query("SELECT output_id, CASE WHEN rating BETWEEN 0 AND 5 THEN rating END AS rating, CASE WHEN review_count >= 0 THEN review_count END AS review_count, CASE WHEN units_sold_period IN ('day','week','month','year','24h','7d','30d','lifetime') AND units_sold >= 0 THEN units_sold END AS units_sold FROM enrich_product_output")
+@query("""
+WITH g AS (SELECT *, units_sold >= 0 AND trim(units_sold_period) IN ('trailing_30d', 'monthly', 'lifetime', 'unknown') AS sold FROM enrich_product_output)
+SELECT output_id, CASE WHEN rating >= 0 AND rating <= 5 THEN rating END AS rating, CASE WHEN review_count >= 0 THEN review_count END AS review_count, CASE WHEN sales_rank > 0 THEN sales_rank END AS sales_rank,
+  CASE WHEN sold THEN units_sold END AS units_sold, CASE WHEN sold THEN trim(units_sold_period) END AS units_sold_period FROM g
+""")
 def export_guards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRJ-08: numbers of the export that pass their guards."""
-    return records.export_projection(table(spark, sf_dir, "enrich_product_output")).select("output_id", "rating", "review_count", "units_sold")
+    return records.export_projection(table(spark, sf_dir, "enrich_product_output")).select("output_id", "rating", "review_count", "sales_rank", "units_sold", "units_sold_period")
 
 
 @query("""
@@ -387,16 +383,6 @@ def ttl_fresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select("event_id", "ts").crossJoin(F.broadcast(now)).select("event_id", timeline.is_fresh(F.col("ts") + F.expr("INTERVAL 1 HOUR"), F.col("now")).alias("fresh"))
 
 
-@query("""
-WITH RECURSIVE e AS (SELECT DISTINCT l_suppkey AS src, l_partkey % 50 + 1 AS dst FROM lineitem WHERE l_quantity > 49), r(node) AS (SELECT CAST(1 AS BIGINT) UNION SELECT e.dst FROM r JOIN e ON r.node = e.src)
-SELECT node FROM r
-""")
-def fixpoint_reach(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nodes reached over a small part of the links, folded to fifty targets, as its SQL has it; `link_closure` is SET-04 over all links."""
-    edges = table(spark, sf_dir, "lineitem").filter("l_quantity > 49").select(F.col("l_suppkey").alias("src"), (F.col("l_partkey") % 50 + 1).alias("dst")).distinct()
-    return sets.reachable(edges, spark.range(1, 2).select(F.col("id").alias("node"))).select("node")
-
-
 @query("""
 WITH RECURSIVE e AS (SELECT DISTINCT l_suppkey AS src, l_partkey AS dst FROM lineitem), r(node) AS (SELECT CAST(1 AS BIGINT) UNION SELECT e.dst FROM r JOIN e ON r.node = e.src)
 SELECT node FROM r
@@ -425,17 +411,3 @@ def merged_ingredients(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG-09, AGG-10: ingredients of each page united by name, the most complete one kept."""
     items = table(spark, sf_dir, "enrich_product_output").select("product_url", "output_id", F.posexplode("main_ingredients").alias("i", "m")).select("product_url", (F.col("output_id") * 1000 + F.col("i") + 1).alias("o"), "m.*")
     return records.merge_ingredients(items, ["product_url"], "o", newer_wins=False).select("product_url", "ingredient_key", "substance")
-
-
-@query("SELECT s_suppkey, CAST(floor((row_number() OVER (ORDER BY s_suppkey) - 1) / 7) AS BIGINT) AS batch FROM supplier")
-def batch_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """OUT-05: numbered batches of seven sites (a small dimension, ordered as a whole)."""
-    from pyspark.sql import Window
-
-    return table(spark, sf_dir, "supplier").select("s_suppkey", F.floor((F.row_number().over(Window.orderBy("s_suppkey")) - 1) / 7).alias("batch"))
-
-
-@query("SELECT event_id, json_extract_string(props, '$.page') AS page FROM events")
-def props_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRC-04, SRC-09: one value out of a JSON column."""
-    return table(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.page").alias("page"))

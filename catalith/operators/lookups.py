@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from catalith.runtime import dimension
-
 
 def vocabulary_key(name: Column) -> Column:
     """JOIN-01: lower case, & as and, apostrophes dropped, other signs as spaces, one trailing s dropped."""
@@ -17,12 +15,12 @@ def vocabulary_key(name: Column) -> Column:
 def match_vocabulary(values: DataFrame, value: str, vocabulary: DataFrame, aliases: DataFrame) -> DataFrame:
     """JOIN-01: `values` with entry_id and entry_name: by key among names, else by key among aliases; null for no match.
 
-    Of names with one key the last by id counts. Both tables are broadcast while counted small, joined by shuffle beyond.
+    Of names with one key the last by id counts. Whether the tables are broadcast is left to the planner, which knows their bytes.
     """
     names = vocabulary.select(vocabulary_key(F.col("name")).alias("__k"), F.col("id").alias("__id"), F.col("name").alias("__name")).groupBy("__k").agg(F.max(F.struct("__id", "__name")).alias("__n"))
     other = aliases.select(vocabulary_key(F.col("alias")).alias("__a"), F.col("canonical").alias("__c")).groupBy("__a").agg(F.min("__c").alias("__c"))
     by_alias = other.join(vocabulary.groupBy("name").agg(F.max("id").alias("__id")), F.col("__c") == F.col("name")).select("__a", F.struct(F.col("__id"), F.col("__c").alias("__name")).alias("__m"))
-    rows = values.withColumn("__key", vocabulary_key(F.col(value))).join(dimension(names), F.col("__key") == F.col("__k"), "left").join(dimension(by_alias), F.col("__key") == F.col("__a"), "left")
+    rows = values.withColumn("__key", vocabulary_key(F.col(value))).join(names, F.col("__key") == F.col("__k"), "left").join(by_alias, F.col("__key") == F.col("__a"), "left")
     hit = F.coalesce("__n", "__m")
     return rows.select(*values.columns, hit["__id"].alias("entry_id"), hit["__name"].alias("entry_name"))
 
@@ -74,7 +72,7 @@ def has_inference(values: Column, inferences: Column) -> Column:
 def first_relation(records: DataFrame, routes: DataFrame, origin: str, step: str, relation: str) -> DataFrame:
     """JOIN-09: records with the relation of the first step of their origin."""
     first = routes.groupBy(origin).agg(F.min_by(relation, step).alias(relation))
-    return records.join(dimension(first), origin, "left")
+    return records.join(first, origin, "left")
 
 
 def best_per_key(rows: DataFrame, key: list[str], order: list[Column]) -> DataFrame:

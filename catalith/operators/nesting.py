@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 from catalith.runtime import ship_package
 
-#: Text packed into a JSON string is unpacked up to this depth.
-MAX_PACKING = 8
 _KEYS = {"main_ingredients": ("main_ingredients", "mainIngredients"), "images": ("images",), "variants": ("variants",), "variant_options": ("variant_options", "variantOptions")}
 _LABELS = {"main_ingredients": ("name", "value"), "images": ("url", "src"), "variants": ("id",), "variant_options": ("name", "label")}
 #: An object with one of these keys is one entry; any other object of options maps names to values.
@@ -31,9 +29,9 @@ class Pairs(list):
 
 
 def parse_record(payload: str | None) -> Pairs | None:
-    """The record a payload holds: byte order marks dropped, text packed into strings and single-entry lists opened; None where it holds none."""
+    """The record a payload holds: byte order marks dropped, text packed into strings and single-entry lists opened, however deep; None where it holds none."""
     value: object = payload
-    for _ in range(MAX_PACKING):
+    while True:  # each round parses a shorter text or enters a smaller value
         if isinstance(value, str):
             try:
                 value = json.loads(value.lstrip("\ufeff \t\r\n"), object_pairs_hook=Pairs)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +9,7 @@ from pyspark.sql import functions as F
 
 from catalith.functions import quantities as Q
 from catalith.operators import history, nesting, units
-from catalith.runtime import shared_dir, table
+from catalith.runtime import dimension, new_path, table
 
 
 def known_captures(snapshots: DataFrame) -> DataFrame:
@@ -22,14 +21,16 @@ def known_captures(snapshots: DataFrame) -> DataFrame:
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Versions of each listing with the period each was valid."""
     rows = known_captures(table(spark, sf_dir, "enrich_history"))
-    versions = history.build_history(rows, ["domain", "external_id"], "captured_at", ["amount", "in_stock", "rating"], ["ingested_at", "snapshot_id"])
+    versions = history.merge_history(None, rows, ["domain", "external_id"], "captured_at", ["amount", "in_stock", "rating"], ["ingested_at", "snapshot_id"])
     text = lambda c: F.substring(F.col(c).cast("timestamp_ntz").cast("string"), 1, 19)
     return versions.select("domain", "external_id", text("valid_from").alias("valid_from"), F.coalesce(text("valid_to"), F.lit("")).alias("valid_to"))
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prices in US cents, and amounts of supplement facts in ug, joule or cfu."""
-    prices = units.prices_in_cents(table(spark, sf_dir, "enrich_product_output"), table(spark, sf_dir, "currency_rate"))
+    listings = table(spark, sf_dir, "enrich_product_output")
+    usual = dimension(units.usual_currencies(listings), "currencies")
+    prices = units.prices_in_cents(listings, table(spark, sf_dir, "currency_rate"), source_default=usual)
     facts = table(spark, sf_dir, "crawl").select("record_id", F.col("fields.supplement_facts").alias("facts"))
     amounts = units.amounts_in_base_units(facts, table(spark, sf_dir, "unit_reference"), "record_id", "facts")
     prices = prices.select(F.lit("price").alias("row_kind"), F.col("output_id").alias("row_id"), F.lit(1).alias("item_no"), "quantity", F.lit("usd_cent").alias("unit"))
@@ -39,7 +40,7 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat child rows of the nested payloads, linked to their parents."""
     flat = nesting.flatten_records(table(spark, sf_dir, "raw_record"))
-    path = f"{shared_dir(spark)}/children-{uuid.uuid4().hex}"
+    path = new_path(spark, "children")
     nesting.write_partitioned(flat, path)
     tables = nesting.child_tables(spark.read.schema(flat.schema).parquet(path))
     return reduce(DataFrame.unionByName, [t.select("raw_id", "child", "parent_no", "item_no", "label") for t in tables.values()])

@@ -1,7 +1,8 @@
-"""Session-level helpers shared by all operators: shared folder, materialisation, bounded dimensions."""
+"""Session-level helpers shared by all operators: shared folder, written intermediates, sides of joins, bounded reference lists."""
 
 from __future__ import annotations
 
+import atexit
 import io
 import os
 import tempfile
@@ -10,9 +11,8 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, Row, SparkSession
-from pyspark.sql import functions as F
 
-#: Rows up to which a dimension counts as small: it may be broadcast or read by the driver.
+#: Rows a reference list read by the driver may have.
 SMALL_ROWS = 100_000
 
 
@@ -22,24 +22,59 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder all executors share, as the cluster names it in spark.checkpoint.dir; a private one only where it is unset."""
+    """Folder all executors share, as the cluster names it in spark.checkpoint.dir. Where it is unset a local session gets a folder of its own;
+    on a cluster, whose executors would not see such a folder, it raises."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not named:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder all executors share")
         named = "file://" + os.path.join(tempfile.gettempdir(), f"catalith-{os.getuid()}")
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
 
 
+_runs: dict[str, tuple] = {}
+
+
+def run_dir(spark: SparkSession) -> str:
+    """Folder for the intermediates of this application, below the shared folder; deleted by `clear_intermediates`, at the latest when the driver ends."""
+    app = spark.sparkContext.applicationId
+    path = f"{shared_dir(spark)}/catalith-{app}"
+    if app not in _runs:
+        _runs[app] = (spark._jvm, spark._jsc.hadoopConfiguration(), path)
+    return path
+
+
+def new_path(spark: SparkSession, label: str) -> str:
+    """A fresh path for an intermediate table."""
+    return f"{run_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_intermediates(spark: SparkSession | None = None) -> None:
+    """Delete what this driver's applications (or that of `spark`) wrote below their run folders; results read from it must have been consumed."""
+    for app in [spark.sparkContext.applicationId] if spark is not None else list(_runs):
+        if app in _runs:
+            jvm, conf, path = _runs.pop(app)
+            try:
+                target = jvm.org.apache.hadoop.fs.Path(path)
+                target.getFileSystem(conf).delete(target, True)
+            except Exception:  # noqa: BLE001 - the JVM may have ended before the driver's Python did
+                pass
+
+
+atexit.register(clear_intermediates)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write `df` as a table in the shared folder and read it back: cuts lineage, survives the loss of executors."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def _write_shared(spark: SparkSession, payload: bytes, name: str) -> str:
-    path = f"{shared_dir(spark)}/{name}"
+    path = f"{run_dir(spark)}/{name}"
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = target.getFileSystem(spark._jsc.hadoopConfiguration())
     stream = files.create(target, True)
@@ -74,14 +109,10 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
-def is_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> bool:
-    """Whether `df` has at most `max_rows` rows; stops counting beyond."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def dimension(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """`df` with a broadcast hint if its counted rows are within `max_rows`; unchanged (shuffle join) beyond."""
-    return F.broadcast(df) if is_small(df, max_rows) else df
+def dimension(df: DataFrame, label: str = "side") -> DataFrame:
+    """`df` written once to the shared folder, for a join side that is usually small: its bytes are then known to the planner, which broadcasts it
+    only within spark.sql.autoBroadcastJoinThreshold and shuffles beyond. Nothing is computed twice and no hint overrides the size."""
+    return materialise(df, label)
 
 
 def bounded_rows(df: DataFrame, max_rows: int = SMALL_ROWS) -> list[Row]:
@@ -93,8 +124,8 @@ def bounded_rows(df: DataFrame, max_rows: int = SMALL_ROWS) -> list[Row]:
 
 
 def literal_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """A fixed table of the library as a local relation (no Python worker, no file), e.g. literal_table(spark, [("g", 1)], "unit string, n int")."""
-    fields = [part.split() for part in schema.split(",")]
+    """A fixed table of the library as a local relation (no Python worker, no file), e.g. literal_table(spark, [("g", 1)], "unit string, n int"); decimals are written decimal(20_6)."""
+    fields = [[x.replace("_", ",") if x.startswith("decimal") else x for x in part.split()] for part in schema.split(",")]
 
     def literal(value: object, kind: str) -> str:
         if value is None:

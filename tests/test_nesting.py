@@ -31,6 +31,13 @@ def test_damaged_and_empty(spark):
     assert flat(spark, []) == []
 
 
+def test_packing_has_no_depth_limit(spark):
+    text = json.dumps({"images": "u"})
+    for _ in range(12):
+        text = json.dumps([text])
+    assert flat(spark, [text]) == [(0, "images", -1, 0, "u")]
+
+
 def test_lone_entries(spark):
     assert flat(spark, [json.dumps({"main_ingredients": "Zinc", "images": {"url": "u"}, "variants": {"id": 1.5}})]) == [(0, "images", -1, 0, "u"), (0, "main_ingredients", -1, 0, "Zinc"), (0, "variants", -1, 0, "1.5")]
 
@@ -47,8 +54,8 @@ def test_query_writes_partitioned_and_reads_the_tables(spark, sf_dir):
     from pathlib import Path
 
     shared = Path(spark.sparkContext.getConf().get("spark.checkpoint.dir").removeprefix("file://"))
-    before = set(shared.glob("children-*"))
+    before = set(shared.rglob("children-*"))
     got = found.p7_found(spark, sf_dir)
-    (path,) = set(shared.glob("children-*")) - before
+    (path,) = set(shared.rglob("children-*")) - before
     assert {p.name for p in path.glob("child=*")} == {f"child={t}" for t in ("main_ingredients", "images", "variants", "variant_options")}
     assert rows(got) == rows(nesting.flatten_records(spark.read.parquet(f"{sf_dir}/raw_record.parquet")).drop("payload"))

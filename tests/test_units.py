@@ -24,10 +24,23 @@ def test_prices(spark):
 def test_usual_currency_of_a_site(spark):
     rates = spark.createDataFrame(RATES, "currency_code string, minor_digits int, usd_per_unit decimal(12,6)")
     listings = spark.createDataFrame([(1, "10", None, "a"), (2, "10", None, "b")], "output_id bigint, price string, currency string, domain string")
-    usual = spark.createDataFrame([("a", "GBP")], "domain string, default_currency string")
+    usual = spark.createDataFrame([("a", "GBP")], "site string, default_currency string")
     assert rows(units.prices_in_cents(listings, rates, source_default=usual)) == [(1, 1264)]
 
 
+def test_usual_currencies_are_mined_from_all_rows(spark):
+    data = [("WWW.a.example ", "£3", None), ("a.example", "4", "gbp"), ("a.example", "4", "EUR"), ("b.example", "5 EUR", ""), ("b.example", "$6", None), ("c.example", "7", None), (None, "$8", None), ("d.example", None, "EUR")]
+    df = spark.createDataFrame(data, "domain string, price string, currency string")
+    assert rows(units.usual_currencies(df)) == [("a.example", "GBP"), ("b.example", "EUR")]
+    assert units.usual_currencies(df.limit(0)).collect() == []
+
+
+def test_offsets(spark):
+    ref = spark.createDataFrame([("mg", "mass", None, D(1000), D(5)), ("g", "mass", None, D(10**6), None)], "unit string, dimension string, substance string, base_per_unit decimal(20,6), base_offset decimal(20,6)")
+    df = spark.createDataFrame([(1, "2 mg, 3 g")], "record_id bigint, facts string")
+    assert rows(units.amounts_in_base_units(df, ref, "record_id", "facts")) == [(1, 1, 2005, "ug"), (1, 2, 3 * 10**6, "ug")]
+
+
 @pytest.mark.parametrize(
     "text, expected",
     [

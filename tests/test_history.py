@@ -48,8 +48,9 @@ def make(seed, n, hot=0.4):
 def test_history_equals_a_loop(spark):
     for seed, n in ((1, 400), (2, 40)):
         data = make(seed, n)
-        got = history.build_history(spark.createDataFrame(data, SCHEMA), KEYS, "at", ATTRS, ["seen", "n"]).drop("attr_hash")
-        assert rows(got) == brute(data)
+        for hot_rows in (history.HOT_ROWS, 100, 0):
+            got = history.build_history(spark.createDataFrame(data, SCHEMA), KEYS, "at", ATTRS, ["seen", "n"], hot_rows=hot_rows).drop("attr_hash")
+            assert rows(got) == brute(data)
 
 
 def test_empty_table_and_only_nulls(spark):
@@ -96,9 +97,16 @@ def test_merge_leaves_other_keys_alone(spark):
 def test_captures_of_one_month_are_spread(spark):
     data = [("hot", "x", dt.datetime(2025, 2, 1) + dt.timedelta(minutes=20 * i), None, i, i // 5, None, "") for i in range(300)]
     df = spark.createDataFrame(data, SCHEMA)
-    pieces = history.latest_per_time(df, KEYS, "at", ATTRS, ["n"]).groupBy("key", "piece").count()
+    pieces = history.latest_per_time(df, KEYS, "at", ATTRS, ["n"], "hour").groupBy("key", "piece").count()
     assert pieces.count() == 100 and pieces.agg({"count": "max"}).first()[0] == 3
-    assert rows(history.build_history(df, KEYS, "at", ATTRS, ["n"]).drop("attr_hash")) == brute(data)
+    assert len(history.hot_keys(df, KEYS, 299)) == 1 and history.hot_keys(df, KEYS, 300) == []
+    assert rows(history.build_history(df, KEYS, "at", ATTRS, ["n"], hot_rows=100).drop("attr_hash")) == brute(data)
+
+
+def test_rows_are_read_and_shuffled_once(spark):
+    df = spark.createDataFrame(make(5, 50), SCHEMA)
+    plan = history.build_history(df, KEYS, "at", ATTRS, ["n"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("- Scan") == 1
 
 
 def test_what_captures_say(spark):

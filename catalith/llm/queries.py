@@ -13,9 +13,10 @@ from catalith.runtime import materialise, table
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vocabulary entry meant by each freely typed function, ingredient and category, '' where none is."""
-    listings, inferences, vocabulary = table(spark, sf_dir, "enrich_product_output"), table(spark, sf_dir, "inference"), table(spark, sf_dir, "vocabulary")
-    contexts = canonical.typed_contexts(listings, inferences, vocabulary)
-    mapped = canonical.map_values(canonical.typed_values(listings, inferences), vocabulary, table(spark, sf_dir, "vocabulary_alias"), contexts)
+    vocabulary = table(spark, sf_dir, "vocabulary")
+    typed = materialise(canonical.typed_values(table(spark, sf_dir, "enrich_product_output"), table(spark, sf_dir, "inference")), "typed")
+    rows = typed.filter("first").select("row_id", "kind", "raw_value")
+    mapped = canonical.map_values(rows, vocabulary, table(spark, sf_dir, "vocabulary_alias"), canonical.typed_contexts(typed, vocabulary))
     return mapped.select("row_id", F.col("kind").alias("field_name"), "raw_value", F.coalesce("entry_id", F.lit("")).alias("vocab_id"))
 
 

@@ -16,11 +16,33 @@ from tests.conftest import rows
 def test_runtime(spark, tmp_path):
     df = spark.range(5)
     assert rows(runtime.materialise(df, "t")) == [(i,) for i in range(5)]
-    assert runtime.is_small(df, 5) and not runtime.is_small(df, 4)
     with pytest.raises(ValueError):
         runtime.bounded_rows(df, 4)
     assert rows(runtime.literal_table(spark, [("it's \\", None, True), ("b", 2, False)], "a string, b int, c boolean")) == sorted([("it's \\", None, True), ("b", 2, False)], key=repr)
-    assert "broadcast" not in runtime.dimension(df, 3)._jdf.queryExecution().toString().lower()
+    side = runtime.dimension(df)
+    assert "hint" not in side._jdf.queryExecution().toString().lower() and rows(side) == [(i,) for i in range(5)]
+
+
+def test_shared_folder_is_never_machine_local_on_a_cluster():
+    class Session:
+        def __init__(self, master, named=None):
+            self.sparkContext = self
+            self.master, self.named, self.conf = master, named, self
+
+        def get(self, *_):
+            return self.named
+
+        def getConf(self):
+            return self
+
+        def set(self, *_):
+            pass
+
+    assert runtime.shared_dir(Session("yarn", "hdfs:///x/")) == "hdfs:///x"
+    assert runtime.shared_dir(Session("local[4]")).startswith("file:///")
+    for master in ("yarn", "local-cluster[3,2,1000]", "spark://h:7077"):
+        with pytest.raises(ValueError):
+            runtime.shared_dir(Session(master))
 
 
 def test_variants(spark):

@@ -19,7 +19,11 @@ def test_automaton_equals_brute_force():
             words = [r.choice("abcd") for _ in range(r.randrange(0, 20))]
             found = a.leaked(words)
             assert set(found) == brute(words, items, n)
-            assert all(v >= n for v in found.values())
+            for k, leak in found.items():
+                ws = items[k][1]
+                runs = [(i, m) for i in range(len(words)) for m in range(n, len(words) - i + 1) if any(ws[j : j + m] == words[i : i + m] for j in range(len(ws)))]
+                assert leak.run == max(m for _, m in runs)
+                assert leak.covered == len({x for i, m in runs for x in range(i, i + m)})
 
 
 def test_normalisation():
@@ -44,3 +48,28 @@ def test_test_tables_against_grams(spark, sf_dir):
     listed = [(r["item_id"], L.words_of(r["text"])) for r in items.collect()]
     want = [(r["doc_id"], i) for r in docs.collect() for i in brute(L.words_of(r["text"] or ""), listed, 13)]
     assert want and rows(L.leaks(docs, items).select("doc_id", "item_id")) == sorted(want, key=repr)
+
+
+def test_run_is_that_of_each_item(spark):
+    w = [f"w{i}" for i in range(30)]
+    items = spark.createDataFrame([(1, " ".join(w[:18])), (2, " ".join(["a", *w[:13], "b"]))], "item_id bigint, text string")
+    docs = spark.createDataFrame([(0, " ".join(w))], "doc_id bigint, text string")
+    assert rows(L.leaks(docs, items).select("item_id", "run", "coverage")) == [(1, 18, 1.0), (2, 13, 13 / 15)]
+
+
+def test_coverage_limit(spark):
+    w = [f"w{i}" for i in range(20)]
+    items = spark.createDataFrame([(1, " ".join(w))], "item_id bigint, text string")
+    docs = spark.createDataFrame([(0, " ".join([*w[:8], "x", *w[8:16]])), (1, " ".join(w[:8])), (2, " ".join(x for i in range(0, 16, 4) for x in [*w[i : i + 4], "x"]))], "doc_id bigint, text string")
+    assert rows(L.leaks(docs, items)) == []
+    assert rows(L.leaks(docs, items, coverage=0.8)) == [(0, 1, 8, 0.8)]
+    clean = {r["doc_id"]: r["clean_text"] for r in L.remove_leaks(docs, items, coverage=0.8).collect()}
+    assert clean[0].strip() == "x" and clean[1] == " ".join(w[:8])
+
+
+def test_any_number_of_items_in_blocks(spark, sf_dir):
+    docs, items = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/eval_item.parquet")
+    assert len(list(L.automata(items, "item_id", "text", 13, 10_000))) > 3
+    whole, parts = L.leaks(docs, items), L.leaks(docs, items, block_chars=10_000)
+    assert rows(whole) == rows(parts)
+    assert rows(L.remove_leaks(docs, items)) == rows(L.remove_leaks(docs, items, block_chars=10_000))

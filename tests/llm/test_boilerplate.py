@@ -32,10 +32,21 @@ def test_scan_equals_brute_force():
         scores, cost = [r.uniform(-3, 3) for _ in range(r.randrange(1, 9))], r.choice([0, 0.3, 2, 100])
         def value(mask):
             regions = sum(b and not a for a, b in zip([False, *mask], mask, strict=False))
-            return sum(s for s, m in zip(scores, mask, strict=True) if m) - cost * regions
+            return sum(s for s, m in zip(scores, mask, strict=True) if m) - cost * max(regions - 1, 0)
         best = max(value([bool(n >> i & 1) for i in range(len(scores))]) for n in range(2 ** len(scores)))
         assert abs(value(B.best_regions(scores, cost)) - best) < 1e-9
-    assert B.best_regions([]) == []
+        first, end = B.best_region(scores)
+        totals = {(i, j): sum(scores[i:j]) for i in range(len(scores)) for j in range(i, len(scores) + 1)}
+        assert abs(sum(scores[first:end]) - max(totals.values())) < 1e-9
+        single = B.best_regions(scores, float("inf"))
+        assert abs(sum(s for s, m in zip(scores, single, strict=True) if m) - max(totals.values())) < 1e-9
+        assert sum(b and not a for a, b in zip([False, *single], single, strict=False)) <= 1
+    assert B.best_regions([]) == [] and B.best_region([]) == (0, 0) and B.best_regions([1, 2, -1, 5], float("inf")) == [True] * 4
+
+
+def test_cost_of_regions_is_the_one_held_out_pages_choose():
+    wrong = B.region_costs([0.0, B.REGION_COST, 1.0, float("inf")])
+    assert min(wrong, key=wrong.get) == B.REGION_COST and wrong[B.REGION_COST] < 0.1 < wrong[float("inf")]
 
 
 TEXT = "Home > Brands > Gifts\r\n\r\nVertoma Zinc brings 5 mg of Zinc in every serving of this jar.\nLoad more\nSearch for Zinc in our field notes and you will find a small valley.\nStore the box dry and below 20 degrees, away from sunlight.\n(c) 2020 greenstore. All rights reserved. Imprint - Terms - Privacy\n"

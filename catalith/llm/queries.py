@@ -33,12 +33,20 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.filter(~F.col("is_main")).select("record_id", "field_name", "line_no")
 
 
-def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs of listings that offer the same product."""
+def _products(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "enrich_product_output")
     dictionary = listings.mine_dictionary(rows, table(spark, sf_dir, "vocabulary"), table(spark, sf_dir, "vocabulary_alias"), table(spark, sf_dir, "unit_reference"))
-    keys = materialise(listings.product_keys(rows, table(spark, sf_dir, "crawl"), dictionary), "products")
-    return listings.same_products(keys)
+    return materialise(listings.product_keys(rows, table(spark, sf_dir, "crawl"), dictionary), "products")
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of listings that offer the same product."""
+    return listings.same_products(_products(spark, sf_dir))
+
+
+def p6_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product class of every listing, without pairs."""
+    return listings.product_classes(_products(spark, sf_dir))
 
 
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,7 +67,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.select("doc_id", F.inline("spans")).select("doc_id", "kind", "pii_text")
 
 
-QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found}
+QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p6_classes": p6_classes, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found}
 
 def _p3_sql() -> str:
     """p3_found for DuckDB, written apart from the operator."""

@@ -2,6 +2,7 @@ import pytest
 
 from catalith.llm import pii
 from catalith.llm.labelled_pii import examples
+from tests.llm.held_out_pii import parsed
 
 CASES = [
     ("Please answer to sean.grimovic+vit [at] letters [dot] example [dot] net. Thanks", [("email", "sean.grimovic+vit [at] letters [dot] example [dot] net")]),
@@ -18,11 +19,11 @@ CASES = [
 
 @pytest.mark.parametrize("text, expected", CASES)
 def test_cases(text, expected):
-    found = pii.find([text], pii.default_model(), frozenset({"ginseng", "ginkgo"}))[0]
+    found = pii.find([text], pii.default_model(), pii.lexicon(["Ginseng", "Ginkgo"]))[0]
     assert [(c.kind, text[c.start : c.end]) for c in found] == expected
 
 
-def test_held_out_sentences():
+def test_labelled_sentences_with_other_fillers():
     model, right, wrong, missed = pii.default_model(), 0, 0, 0
     labelled = examples(copies=3, seed=99)
     for (text, spans), found in zip(labelled, pii.find([t for t, _ in labelled], model), strict=True):
@@ -33,6 +34,36 @@ def test_held_out_sentences():
     assert right / (right + wrong) > 0.93 and right / (right + missed) > 0.93
 
 
+def test_held_out_sentences():
+    """Wording, names, streets and towns the library's sentences do not hold."""
+    rows, proposed, found, wrong, total = parsed(), 0, {}, 0, {}
+    for (text, want), got in zip(rows, pii.find([t for t, _ in rows], pii.default_model()), strict=True):
+        spans = {(c.kind, text[c.start : c.end]) for c in got}
+        proposed += len(set(want) & {(c.kind, text[c.start : c.end]) for c in pii.candidates(text)})
+        wrong += len(spans - set(want))
+        for kind, item in want:
+            total[kind] = total.get(kind, 0) + 1
+            found[kind] = found.get(kind, 0) + ((kind, item) in spans)
+    assert proposed / sum(total.values()) > 0.95 and wrong <= 4
+    assert all(found[k] / total[k] > 0.8 for k in total if k != "person") and found["person"] / total["person"] >= 0.5
+
+
+def test_names_that_are_also_words_are_proposed():
+    known = pii.lexicon(["Green Tea Extract", "Winter Cherry"])
+    for name in ("John Green", "Will Smith", "April Jones", "Anna Winter", "Sarah Long", "Angus McDonald", "Maria de la Cruz", "Ana Maria Ruiz", "Ludwig van der Berg", "Иван Петров"):
+        assert ("person", name) in {(c.kind, f"It was {name} who rang."[c.start : c.end]) for c in pii.candidates(f"It was {name} who rang.", known)}
+    assert pii.candidates("Green Tea and Winter Cherry", known) == []
+
+
+def test_thresholds_are_not_clipped_and_folds_share_no_sentence():
+    import numpy as np
+
+    assert pii._threshold(np.array([0.9, 0.8, 0.3]), np.array([1, 1, 0])) == 0.55 and pii._threshold(np.array([0.04, 0.02]), np.array([1, 1])) == 0.01
+    assert pii._threshold(np.array([]), np.array([])) == 1.0 == pii._threshold(np.array([0.5]), np.array([0]))
+    parts = [set(pii.SENTENCES[n :: pii.FOLDS]) for n in range(pii.FOLDS)]
+    assert sum(map(len, parts)) - len(set().union(*parts)) <= 3  # a sentence written twice may fall into two parts
+
+
 def test_documents(spark):
     data = [(1, "Call me on 07700 900377 after six.", "x"), (2, None, "x"), (3, "", "x"), (4, "word " * 50_000 + "Call me on 07700 900377 after six.", "x"), (1, "Call me on 07700 900377 after six.", "x")]
     df = spark.createDataFrame(data, "doc_id bigint, text string, found string")

@@ -57,12 +57,15 @@ _UNIT = rf"{_CELLS}|micrograms?|milligrams?|grams?|[µμ]g|mcg|ug|mg|kg|gm|g|oz|
 _AMOUNT = re.compile(rf"(?<![\w.,])({_NUMBER})\s*({_UNIT})(?!\w)", re.I)
 _COUNT = re.compile(r"(?<![\d.,])(\d{1,4})\s?(?:ct\b|count\b|pcs\b|pieces\b|stück\b|stk\b|unidades\b|unités\b|unites\b)|\bx\s?(\d{1,4})(?![\d.,]*\s?(?:mg|g|mcg|µg)\b)(?!\w)|\((\d{1,4})\)", re.I)
 _UNITS = dict(Q.UNIT_ALIASES)
+_MARKS, _PLAIN = re.compile(r"[\u0300-\u036f]+"), re.compile(r"[a-z0-9]+")
 
 
 def plain_words(text: str | None) -> str:
     """Words of a text in lower case without marks, parted and enclosed by single spaces."""
-    low = unicodedata.normalize("NFKD", (text or "").lower())
-    return " " + " ".join(re.findall(r"[a-z0-9]+", "".join(c for c in low if not unicodedata.combining(c)).replace("'", " "))) + " "
+    low = (text or "").lower().replace("'", " ")
+    if not low.isascii():
+        low = _MARKS.sub("", unicodedata.normalize("NFKD", low))
+    return " " + " ".join(_PLAIN.findall(low)) + " "
 
 
 def number(text: str) -> Decimal | None:
@@ -220,11 +223,10 @@ def parse_description(d: Dictionary, text: str | None, model: str | None) -> dic
     if not text:
         return out
     for sentence in re.split(r"(?<!\d)[.!](?=\s|$)|[!\n\r]+|(?<=\d)\.(?=\s+\D)", text):
-        found = d.find(plain_words(sentence))
-        if out["strength"] is None and model in found.get("model", ()):
-            out["strength"] = next((s for a in _AMOUNT.finditer(sentence) if (s := d.strength(a.group(1), a.group(2), model))), None)
-        if len(sentence) < 30 and found.get("flavour") and len(plain_words(sentence).split()) <= 3:
-            out["flavour"] = out["flavour"] or found["flavour"][0]
+        if out["strength"] is None and (amounts := list(_AMOUNT.finditer(sentence))) and model in d.find(plain_words(sentence)).get("model", ()):
+            out["strength"] = next((s for a in amounts if (s := d.strength(a.group(1), a.group(2), model))), None)
+        if out["flavour"] is None and len(sentence) < 30 and len(sentence.split()) <= 3:
+            out["flavour"] = (d.find(plain_words(sentence)).get("flavour") or [None])[0]
     if d.counted:
         words = plain_words(_AMOUNT.sub(" ; ", text))
         packs = [(int(m.group(1)), -m.start(), m.end()) for m in d.counted.finditer(words)]

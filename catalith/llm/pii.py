@@ -175,7 +175,11 @@ def _name_candidates(text: str, known: Lexicon) -> Iterator[Candidate]:
     words = [(m.start(), m.end(), m.group()) for m in _NAME_WORD.finditer(text)]
     plain = [w not in NO_NAMES and w not in _TITLE_FORMS and not (w.isupper() and w.capitalize() in NO_NAMES) for _, _, w in words]
     for i, (start, end, word) in enumerate(words):
-        if not plain[i] or (start and (text[start - 1].isalnum() or text[start - 1] in "-_'’@.")):
+        if not plain[i]:
+            continue
+        if (i + 1 == len(words) or words[i + 1][0] - end > 12) and not _cued(text, start):
+            continue
+        if (start and (text[start - 1].isalnum() or text[start - 1] in "-_'’@.")):
             continue
         at, last, n = end, word, 1
         alone = len(word) > 2 and (end == len(text) or not (text[end].isalnum() or text[end] in "_@"))
@@ -187,7 +191,7 @@ def _name_candidates(text: str, known: Lexicon) -> Iterator[Candidate]:
                 break
             if not comma and gap not in (" ", "\xa0", "\u202f") and not (len(gap) < 12 and gap[:1] == " " and gap[-1:] == " " and all(p in PARTICLES for p in gap.split())):
                 break
-            if f"{last.lower()} {w.lower()}" in known.pairs:
+            if known.pairs and f"{last.lower()} {w.lower()}" in known.pairs:
                 break
             at, last = e, w
             if len(w.rstrip(".")) > 1:
@@ -488,8 +492,8 @@ def product_lexicon(vocabulary: DataFrame, aliases: DataFrame) -> Lexicon:
     return lexicon(sorted(r["n"] or "" for r in bounded_rows(vocabulary.select(F.col("name").alias("n")).unionByName(aliases.select(F.col("alias").alias("n"))).distinct())))
 
 
-def find_and_redact(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", known: Lexicon = Lexicon()) -> DataFrame:
-    """(id, found array<struct<kind, pii_text, start>>, redacted): personal information of each document, and its text without.
+def find_and_redact(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", known: Lexicon = Lexicon(), with_text: bool = True) -> DataFrame:
+    """(id, found array<struct<kind, pii_text, start>>, redacted): personal information of each document, and its text without; no `redacted` where `with_text` is false.
 
     The model is trained once on the driver from the library's labelled sentences and broadcast. Documents are read once in Arrow batches,
     whole texts, without a shuffle. `known` holds words of product names, which the model weighs. Null stays null, empty
@@ -508,8 +512,8 @@ def find_and_redact(documents: DataFrame, id_col: str = "doc_id", text_col: str
             for at in range(0, len(texts), 2000):
                 found += find(texts[at : at + 2000], model, known)
             lists = [None if t is None else [{"kind": c.kind, "pii_text": t[c.start : c.end], "start": c.start} for c in f] for t, f in zip(texts, found, strict=True)]
-            clean = [None if t is None else redact(t, f) for t, f in zip(texts, found, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lists, pa.list_(item)), pa.array(clean, pa.string())], names=[id_col, "found", "redacted"])
+            clean = [pa.array([None if t is None else redact(t, f) for t, f in zip(texts, found, strict=True)], pa.string())] if with_text else []
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lists, pa.list_(item)), *clean], names=[id_col, "found", "redacted"][: 2 + with_text])
 
     rows = documents.select(F.col(id_col), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(scan, f"{id_col} {id_type}, found array<struct<kind string, pii_text string, start int>>, redacted string")
+    return rows.mapInArrow(scan, f"{id_col} {id_type}, found array<struct<kind string, pii_text string, start int>>" + ", redacted string" * with_text)

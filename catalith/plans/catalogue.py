@@ -13,7 +13,6 @@ from catalith.functions import text as T
 from catalith.functions import urls as U
 from catalith.operators import lookups, records, sets, stats, timeline
 from catalith.runtime import table
-from catalith.sinks import files as sink
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -256,17 +255,6 @@ def export_guards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.export_projection(table(spark, sf_dir, "enrich_product_output")).select("output_id", "rating", "review_count", "sales_rank", "units_sold", "units_sold_period")
 
 
-@query("""
-SELECT output_id, array_to_string(list_filter([CASE WHEN coalesce(trim(product_name) <> '', false) THEN NULL ELSE 'name' END, CASE WHEN coalesce(trim(price) <> '', false) THEN NULL ELSE 'price' END,
-  CASE WHEN coalesce(trim(product_form) <> '', false) THEN NULL ELSE 'form' END, CASE WHEN coalesce(len(main_ingredients) > 0, false) THEN NULL ELSE 'ingredients' END, CASE WHEN coalesce(len(images) > 0, false) THEN NULL ELSE 'images' END], lambda x: x IS NOT NULL), ',') AS missing
-FROM enrich_product_output
-""")
-def export_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """VAL-10, VAL-07, VAL-11: fields each listing lacks for export."""
-    checks = {"name": F.trim("product_name") != "", "price": F.trim("price") != "", "form": F.trim("product_form") != "", "ingredients": F.size("main_ingredients") > 0, "images": F.size("images") > 0}
-    return table(spark, sf_dir, "enrich_product_output").select("output_id", F.array_join(sink.gate(checks), ",").alias("missing"))
-
-
 _VKEY = "regexp_replace(trim(regexp_replace(regexp_replace(replace(lower({c}), '&', ' and '), '[''’]', '', 'g'), '[^a-z0-9]+', ' ', 'g'), ' '), 's$', '')"
 
 

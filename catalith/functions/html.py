@@ -12,7 +12,28 @@ _SPACE = r"[\s\x{00A0}\x{FEFF}]+"
 ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&")]
 # Words of a label and the field it names, first match wins.
 TRAIT_KEYS = [("ingredient", "ingredients"), ("recommended daily intake|direction|suggested use|usage", "recommended_daily_intake"), ("note|warning|caution", "notes"), ("storage", "storage"), ("serving size", "serving_size")]
-FACTS_WORDS = "supplement facts|nutrition facts|nutrition information|amount per serving|daily value|nährwert|valeurs nutritionnelles|información nutricional"
+FACTS_WORDS = "active ingredient|supplement fact|nutrition fact|nutrition information|amount per serving|daily value|nutrient|nrv|vitamin|magnesium|protein|serving|nährwert|valeurs nutritionnelles|información nutricional"
+# Parts of class names of titles, descriptions (best first), prices, traits and menus.
+TITLE_CLASSES = ["product_name__name", "product-title", "product__title", "product_title", "entry-title"]
+DESCRIPTION_CLASSES = [["product_name__block--description", "projector_product__description", "product_shortdescription"], ["shortdescription", "product-description", "product__description", "longdescription", "description"]]
+DESCRIPTION_IDS = ["shortdescription", "description", "longdescription"]
+PRICE_CLASSES = ["price", "prices", "amount", "money"]
+TRAIT_CLASSES = ["traits__item", "accordion", "tab-pane", "collapse", "product__accordion"]
+TRAIT_LABELS, TRAIT_VALUES = ["traits__label", "label", "title", "heading"], ["traits__values", "panel", "content", "body", "value"]
+MENU_CLASSES = [("mobile", ["mobile-menu", "off-canvas", "drawer", "hamburger-menu"]), ("mega_menu", ["mega-menu", "dropdown-menu", "submenu", "sub-menu", "menu-panel"])]
+# Currency codes and signs prices are told by.
+CURRENCY_CODES = ["EUR", "USD", "GBP", "CZK", "PLN", "RON", "CHF", "SEK", "NOK", "DKK", "HUF", "AUD", "CAD", "NZD", "JPY", "CNY", "RMB", "KRW"]
+CURRENCY_SIGNS = ["€", "$", "£", "¥", "₹", "₽", "₩", "Kč", "zł", "lei", "Ft"]
+
+
+def _with(attr: str, words: list[str], inner: str = ".*?", closing: str = r"\w+") -> str:
+    """Pattern of an element one of whose attributes `attr` (a pattern) holds one of some words; its content is the first group."""
+    return rf"""(?is)<\w+\s[^>]*(?:{attr})=["'][^"']*(?:{"|".join(words)})[^"']*["'][^>]*>({inner})</(?:{closing})>"""
+
+
+def _meta(key: str, name: str, value: str = "content", tags: str = "meta") -> list[str]:
+    """Patterns of the value of a meta tag, its two attributes in either order."""
+    return [rf"""(?is)<(?:{tags})\s[^>]*(?:{key})=["'](?:{name})["'][^>]*(?:{value})=["']([^"']+)["']""", rf"""(?is)<(?:{tags})\s[^>]*(?:{value})=["']([^"']+)["'][^>]*(?:{key})=["'](?:{name})["']"""]
 
 
 def decode(text: Column) -> Column:
@@ -48,9 +69,9 @@ def links(html: Column) -> Column:
 
 
 def menus(html: Column) -> Column:
-    """Part of HTML-05, without mobile and mega menus: array of struct(surface, html) of nav and header blocks, the whole page where there is none."""
-    block = lambda tag: F.transform(F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}(?:\s[^>]*)?>.*?</{tag}>"), F.lit(0)), lambda m: F.struct(F.lit(tag).alias("surface"), m.alias("html")))
-    found = F.concat(block("nav"), block("header"))
+    """HTML-05: array of struct(surface, html): nav, header, mobile and mega menu blocks, the whole page where there is none. A block found by class ends at its first closing tag."""
+    block = lambda surface, pattern: F.transform(F.regexp_extract_all(html, F.lit(pattern), F.lit(0)), lambda m: F.struct(F.lit(surface).alias("surface"), m.alias("html")))
+    found = F.concat(*[block(tag, rf"(?is)<{tag}(?:\s[^>]*)?>.*?</{tag}>") for tag in ("nav", "header")], *[block(surface, _with("class", words)) for surface, words in MENU_CLASSES])
     return F.when(F.size(found) > 0, found).otherwise(F.array(F.struct(F.lit("page").alias("surface"), html.alias("html"))))
 
 
@@ -69,37 +90,48 @@ def _first(html: Column, patterns: list[str]) -> Column:
 
 
 def title(html: Column) -> Column:
-    """HTML-06: heading, og:title or title, cut at the first bar after a blank."""
-    found = _first(html, [r"(?is)<h1[^>]*>(.*?)</h1>", r"""(?is)<meta\s[^>]*property=["']og:title["'][^>]*content=["']([^"']*)""", r"(?is)<title[^>]*>(.*?)</title>"])
+    """HTML-06: heading, element of a title's class, og:title or title, cut at the first bar after a blank."""
+    found = _first(html, [r"(?is)<h1[^>]*>(.*?)</h1>", _with("class", TITLE_CLASSES), *_meta("property|name", "og:title"), r"(?is)<title[^>]*>(.*?)</title>"])
     return F.nullif(F.trim(F.regexp_replace(found, r"(?s)\s\|.*$", "")), F.lit(""))
 
 
 def description(html: Column) -> Column:
-    """HTML-07: the block whose class or id names a description, else the meta description, at most 2500 characters (the feature's bound)."""
-    return F.substring(_first(html, [r"""(?is)<(?:div|section)\s[^>]*(?:class|id)=["'][^"']*description[^"']*["'][^>]*>(.*?)</(?:div|section)>""", r"""(?is)<meta\s[^>]*name=["']description["'][^>]*content=["']([^"']*)"""]), 1, 2500)
+    """HTML-07: the element whose class, then id names a description, else the meta description, at most 2500 characters (the feature's bound)."""
+    closing = "section|div|article"
+    return F.substring(_first(html, [*[_with("class", words, closing=closing) for words in DESCRIPTION_CLASSES], _with("id", DESCRIPTION_IDS, closing=closing), *_meta("name", "description")]), 1, 2500)
+
+
+def priced(text: Column) -> Column:
+    """The first amount above zero in a text with a currency sign or code before or behind it; null for none."""
+    signs = "|".join("\\" + x if x == "$" else x for x in CURRENCY_SIGNS)
+    codes = "|".join(CURRENCY_CODES)
+    amount = r"\d{1,6}(?:[ .,'’]\d{3})*(?:[.,]\d{1,2})?(?!\d)"
+    found = F.regexp_extract_all(text, F.lit(rf"(?i)(?:(?:{signs})\s*{amount})|(?<![\d.,]){amount}\s*(?:{signs}|{codes})(?![A-Za-z])"), F.lit(0))
+    return F.get(F.filter(found, lambda p: price_number(p) > 0), 0)
 
 
 def price(html: Column) -> Column:
-    """HTML-08: price text: itemprop price, else the first text in a price class that states an amount."""
-    prop = F.nullif(F.regexp_extract(html, r"""(?is)<[^>]*itemprop=["']price["'][^>]*content=["']([^"']*)""", 1), F.lit(""))
-    return F.coalesce(prop, _first(html, [r"""(?is)<\w+\s[^>]*class=["'][^"']*price[^"']*["'][^>]*>([^<]*\d[^<]*)<"""]))
+    """HTML-08: price text: of itemprop price, else the first amount with a currency in an element of a price's class or id, else in the whole text."""
+    prop = _first(html, _meta("itemprop", "price", tags=r"\w+"))
+    marked = F.regexp_extract_all(html, F.lit(_with("class|id", PRICE_CLASSES, closing="strong|span|div|p|money")), F.lit(1))
+    return F.coalesce(F.when(price_number(prop) > 0, prop), F.get(F.filter(F.transform(marked, lambda m: priced(to_text(m))), lambda p: p.isNotNull()), 0), priced(to_text(html)))
 
 
 def currency(html: Column) -> Column:
     """HTML-10: itemprop currency, else the first symbol of a fixed order, else an ISO code in the text; '' for none."""
-    prop = F.upper(F.regexp_extract(html, r"""(?is)itemprop=["']priceCurrency["'][^>]*content=["']([A-Za-z]{3})["']""", 1))
+    prop = F.upper(_first(html, _meta("itemprop", "priceCurrency")))
     text = to_text(html)
-    code = F.upper(F.regexp_extract(text, r"(?i)(?:^|[^A-Za-z])(EUR|USD|GBP|CZK|PLN|CHF|SEK|AUD|CAD|JPY)(?:[^A-Za-z]|$)", 1))
+    code = F.upper(F.regexp_extract(text, r"(?i)(?<![A-Za-z\d_])(" + "|".join(CURRENCY_CODES) + r")(?![A-Za-z\d_])", 1))
     symbol = F.lit("")
     for sign, iso in reversed([("€", "EUR"), ("$", "USD"), ("£", "GBP"), ("Kč", "CZK"), ("zł", "PLN")]):
         symbol = F.when(text.contains(sign), iso).otherwise(symbol)
-    return F.when(prop != "", prop).when(symbol != "", symbol).otherwise(code)
+    return F.when(prop.rlike("^[A-Z]{3}$"), prop).when(symbol != "", symbol).otherwise(code)
 
 
 def availability(html: Column) -> Column:
     """HTML-11: InStock where the text says so (tested first), OutOfStock where it says the opposite, else ''."""
     text = F.lower(to_text(html))
-    return F.when(text.rlike(r"(^|\W)(in stock|available|add to cart)(\W|$)"), "InStock").when(text.rlike(r"(^|\W)(out of stock|sold out|unavailable)(\W|$)"), "OutOfStock").otherwise("")
+    return F.when(text.rlike(r"(^|\W)(in stock|available|dostępny|add to cart)(\W|$)"), "InStock").when(text.rlike(r"(^|\W)(out of stock|sold out|unavailable)(\W|$)"), "OutOfStock").otherwise("")
 
 
 def is_error_page(html: Column) -> Column:
@@ -109,7 +141,7 @@ def is_error_page(html: Column) -> Column:
 
 
 def trait_key(label: Column) -> Column:
-    """Part of HTML-13: canonical field of a label, '' for none."""
+    """HTML-13: canonical field of a label, '' for none."""
     out = F.lit("")
     for words, key in reversed(TRAIT_KEYS):
         out = F.when(F.lower(label).rlike(words), key).otherwise(out)
@@ -117,18 +149,33 @@ def trait_key(label: Column) -> Column:
 
 
 def traits(html: Column) -> Column:
-    """Part of HTML-13, without accordion and tab blocks: array of struct(label, value) of details blocks, the first of each label kept."""
-    blocks = F.regexp_extract_all(html, F.lit(r"(?is)<details[^>]*>.*?</details>"), F.lit(0))
-    pair = lambda b: F.struct(to_text(F.regexp_extract(b, r"(?is)<summary[^>]*>(.*?)</summary>", 1)).alias("label"), to_text(F.regexp_replace(b, r"(?is)<summary[^>]*>.*?</summary>", " ")).alias("value"))
-    found = F.filter(F.transform(blocks, pair), lambda t: (t["label"] != "") & (t["value"] != ""))
-    return F.filter(found, lambda t, i: ~F.exists(F.slice(found, 1, i), lambda x: F.lower(x["label"]) == F.lower(t["label"])))
+    """HTML-13: array of struct(label, value) of accordion and tab blocks, then details blocks; the first of each label kept, compared without case.
+
+    A block of a trait's class reaches to the next such block or the end of its section. Its label is the element of a label's class, else a button, summary or
+    heading; its value the element of a value's class, else its text without the label.
+    """
+    opening = rf"""<div\s[^>]*class=["'][^"']*(?:{"|".join(TRAIT_CLASSES)})[^"']*["'][^>]*>"""
+    starts = F.regexp_extract_all(html, F.lit(rf"(?is){opening}(.*?)(?={opening}|</section>|\z)"), F.lit(1))
+
+    def of_block(b: Column) -> Column:
+        label = F.coalesce(_first(b, [_with("class", TRAIT_LABELS), r"(?is)<(?:button|summary|h2|h3|h4)[^>]*>(.*?)</(?:button|summary|h2|h3|h4)>"]), F.lit(""))
+        rest = F.trim(F.replace(to_text(b), label, F.lit("")))
+        return F.struct(label.alias("label"), F.coalesce(_first(b, [_with("class", TRAIT_VALUES)]), rest).alias("value"))
+
+    def of_details(b: Column) -> Column:
+        return F.struct(to_text(F.regexp_extract(b, r"(?is)<summary[^>]*>(.*?)</summary>", 1)).alias("label"), to_text(F.regexp_replace(b, r"(?is)^<details[^>]*>|<summary[^>]*>.*?</summary>", " ")).alias("value"))
+
+    details = F.regexp_extract_all(html, F.lit(r"(?is)<details[^>]*>.*?</details>"), F.lit(0))
+    found = F.filter(F.concat(F.transform(starts, of_block), F.transform(details, of_details)), lambda t: (t["label"] != "") & (t["value"] != ""))
+    return Q.bind(found, lambda f: Q.bind(F.transform(f, lambda t: F.lower(t["label"])), lambda k: F.filter(f, lambda t, i: F.array_position(k, F.lower(t["label"])) == i + 1)))
 
 
 def facts_tables(html: Column) -> Column:
-    """HTML-14: array of the texts of tables that speak of facts, cells joined by ' ', rows by '; '."""
+    """HTML-14: array of the texts of tables that speak of facts, cells that hold text joined by ' | ', rows by '; '."""
     tables = F.filter(F.regexp_extract_all(html, F.lit(r"(?is)<table[^>]*>.*?</table>"), F.lit(0)), lambda t: F.lower(to_text(t)).rlike(FACTS_WORDS))
-    rows = lambda t: F.filter(F.transform(F.regexp_extract_all(t, F.lit(r"(?is)<tr[^>]*>.*?</tr>"), F.lit(0)), to_text), lambda r: r != "")
-    return F.transform(tables, lambda t: F.array_join(rows(t), "; "))
+    cells = lambda r: F.array_join(F.filter(F.transform(F.regexp_extract_all(r, F.lit(r"(?is)<t[dh][^>]*>(.*?)</t[dh]>"), F.lit(1)), to_text), lambda c: c != ""), " | ")
+    rows = lambda t: F.filter(F.transform(F.regexp_extract_all(t, F.lit(r"(?is)<tr[^>]*>(.*?)</tr>"), F.lit(1)), cells), lambda r: r != "")
+    return F.filter(F.transform(tables, lambda t: F.array_join(rows(t), "; ")), lambda t: t != "")
 
 
 def labelled_section(text: Column, label: str, stops: list[str]) -> Column:

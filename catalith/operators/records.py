@@ -19,8 +19,8 @@ SOLD_PERIODS = ["trailing_30d", "monthly", "lifetime", "unknown"]
 
 
 def first_filled(*columns: Column) -> Column:
-    """PRJ-01: the first column that is neither null nor empty."""
-    return F.coalesce(*[F.when(F.trim(c) != "", c) for c in columns])
+    """PRJ-01: the first column that is neither null nor blank."""
+    return F.coalesce(*[F.when(T.squeeze(c).isNotNull(), c) for c in columns])
 
 
 def first_given(*columns: Column) -> Column:
@@ -30,7 +30,7 @@ def first_given(*columns: Column) -> Column:
 
 def missing_fields(wanted: dict[str, Column]) -> Column:
     """PRJ-01: names of wanted fields without a value, in declared order."""
-    return F.array_compact(F.array(*[F.when(~F.coalesce(F.trim(c.cast("string")) != "", F.lit(False)), F.lit(n)) for n, c in wanted.items()]))
+    return F.array_compact(F.array(*[F.when(T.squeeze(c.cast("string")).isNull(), F.lit(n)) for n, c in wanted.items()]))
 
 
 def normalised_options(options: Column) -> Column:

@@ -235,7 +235,7 @@ def variant_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 SELECT record_id, CASE WHEN trim(fields.sku) <> '' THEN 'sku:' || lower(trim(fields.sku))
-  WHEN len(fields.variant_options) > 0 THEN 'options:' || array_to_string(list_transform(fields.variant_options, lambda o: lower(coalesce(trim(o.name), '')) || '=' || lower(coalesce(trim(o.value), ''))), '|')
+  WHEN len(fields.variant_options) > 0 THEN 'options:' || array_to_string(list_transform(fields.variant_options, lambda o: lower(coalesce(trim(regexp_replace(o.name, '[\\s\\x{00A0}\\x{202F}]+', ' ', 'g')), '')) || '=' || lower(coalesce(trim(regexp_replace(o.value, '[\\s\\x{00A0}\\x{202F}]+', ' ', 'g')), ''))), '|')
   WHEN regexp_matches(product_url, '[?&]variant=') THEN 'url:' || regexp_extract(trim(product_url), '^([^?#]*)', 1) || '?' || regexp_extract(product_url, '[?&](variant=[^&#]*)', 1) ELSE '' END AS variant
 FROM crawl
 """)

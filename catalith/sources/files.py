@@ -112,12 +112,30 @@ def json_or_none(spark: SparkSession, path: str, schema: str) -> DataFrame | Non
     return raw.select(F.from_json("value", schema).alias("value"), F.try_parse_json("value").isNotNull().alias("readable"))
 
 
+#: Bodies of responses above this many bytes are left out (the feature's bound).
+MAX_BODY = 2_000_000
+
+
 def matched_responses(events: DataFrame, rules: DataFrame, per_rule: int = 8) -> DataFrame:
-    """SRC-12: network responses that match a rule(rule, resource_type, part): same type or none given, address holds the part; the first per rule."""
+    """SRC-12: network responses that match a rule(rule, resource_type, part[, pattern]): same type or none given, address holds the part and fits the
+    pattern where given; the first per rule. Responses with a `body` above MAX_BODY bytes are left out.
+
+    The rules are a bounded list read by the driver and tried on each response where it is read: no join, so no pairs of rows and rules.
+    """
     from pyspark.sql import Window
 
-    from catalith.runtime import dimension
+    from catalith.runtime import bounded_rows
 
+    columns = rules.columns
+    tests = []
+    for r in bounded_rows(rules):
+        ok = F.col("url").isNotNull()
+        for wanted, test in ((r["resource_type"], lambda v: F.col("resource_type") == v), (r["part"], lambda v: F.contains(F.col("url"), F.lit(v))), (r["pattern"] if "pattern" in columns else None, lambda v: F.col("url").rlike(v))):
+            ok = ok & test(wanted) if wanted is not None else ok
+        tests.append(F.when(ok, F.lit(r["rule"])))
     responses = events.filter(F.col("method") == "Network.responseReceived")
-    hit = responses.join(dimension(rules.withColumnRenamed("resource_type", "__t")), (F.col("__t").isNull() | (F.col("__t") == F.col("resource_type"))) & F.contains(F.col("url"), F.col("part")))
-    return hit.withColumn("nth", F.row_number().over(Window.partitionBy("rule").orderBy("seq"))).filter(F.col("nth") <= per_rule).drop("__t")
+    if "body" in events.columns:
+        responses = responses.filter(F.coalesce(F.octet_length("body"), F.lit(0)) <= MAX_BODY)
+    found = F.array_compact(F.array(*tests)) if tests else F.array().cast("array<string>")
+    hit = responses.select("*", F.explode(found).alias("rule"))
+    return hit.withColumn("nth", F.row_number().over(Window.partitionBy("rule").orderBy("seq"))).filter(F.col("nth") <= per_rule)

@@ -25,6 +25,9 @@ def one(spark, value, f, kind="string"):
     (I.basename_key, "https://a.example/b/Photo_large.JPG?x=1", "photo"), (I.width, "https://a/x?w=300", 300),
     (H.to_text, "<p>a &amp; b<script>x</script><br>c  d</p>", "a & b c d"), (H.title, "<title>T | Shop</title>", "T"), (H.title, "<h1> A <b>B</b></h1><title>T</title>", "A B"), (H.currency, "<b>12 €</b>", "EUR"), (H.currency, "pay 5 GBP", "GBP"), (H.currency, "", ""),
     (H.availability, "In stock", "InStock"), (H.availability, "sold out", "OutOfStock"), (H.availability, "x", ""), (H.is_error_page, "<title>404 Page not found</title>", True), (H.is_error_page, "<p>x</p>", False), (H.trait_key, "Suggested use", "recommended_daily_intake"),
+    (H.title, '<b class="x product-title">A</b><title>T</title>', "A"), (H.title, '<meta content="O | S" property="og:title">', "O"), (H.description, '<p id="d">x</p><div class="a product-description">one</div><article class="projector_product__description">two</article>', "two"), (H.description, "<meta content='m' name='description'>", "m"),
+    (H.price, '<div class="old amount">was 5</div><span class="price">0,00 €</span><span id="price">$ 1,234.50 now</span>', "$ 1,234.50"), (H.price, "<p>Only 12,90 PLN today</p>", "12,90 PLN"), (H.price, "<p>12 pieces</p>", None), (H.price, '<meta content="7.5" itemprop="price">', "7.5"),
+    (H.currency, "pay 5 nok now", "NOK"), (H.currency, '<meta content="ron" itemprop="priceCurrency">', "RON"), (H.currency, "EUROPE", ""), (H.availability, "produkt dostępny", "InStock"),
     (H.price, '<meta itemprop="price" content="9.90">', "9.90"), (H.price, '<span class="x price">12,50 €</span>', "12,50 €"),
     (T.is_filled, " ", False), (T.is_filled, "n/a", False), (T.is_filled, "[object Object]", False), (T.is_filled, "{{value}}", False), (T.is_filled, "—", False), (T.is_filled, "x", True), (T.is_filled, None, False), (T.words, "  Áß-x_1 ", "aß x 1"), (T.squeeze, "   ", None),
     (R.title_case, "anti-inflammatory and a/b", "Anti-Inflammatory And A/B"), (R.title_case, "Already done", "Already done"), (U.has_placeholder, "https://a/${x}", True),
@@ -48,8 +51,11 @@ def test_lists(spark):
     assert one(spark, ["http://a/x.jpg", "https://a/x.jpg", "", None, "https://a/y.jpg?w=3", "//a/x.jpg"], I.unique, "array<string>") == ["https://a/x.jpg", "https://a/y.jpg?w=3"]
     assert one(spark, '<a class=x HREF="b">1</a>', H.attributes) == {"class": "x", "href": "b"}
     assert one(spark, "<a href='/x?a=1&amp;b=2'>Next <b>1</b></a><a href='#t'>t</a><link rel=next href=y>", lambda c: F.transform(H.links(c), lambda x: F.concat_ws("|", x["tag"], x["href"], x["text"]))) == ["a|/x?a=1&b=2|Next 1", "link|y|"]
-    assert one(spark, "<table><tr><th>Supplement Facts</th></tr><tr><td>Zinc</td><td>5 mg</td></tr></table><table><tr><td>x</td></tr></table>", H.facts_tables) == ["Supplement Facts; Zinc 5 mg"]
+    assert one(spark, "<table><tr><th>Supplement Facts</th></tr><tr><td>Zinc</td><td>5 mg</td></tr></table><table><tr><td>x</td></tr></table>", H.facts_tables) == ["Supplement Facts; Zinc | 5 mg"]
     assert one(spark, "<details><summary>Storage</summary>Dry</details><details><summary>storage</summary>Wet</details>", lambda c: F.transform(H.traits(c), lambda t: t["value"])) == ["Dry"]
+    accordion = '<section class="tabs"><div class="accordion a"><h3>Warnings</h3><div class="panel">Keep <b>dry</b></div></div><div class="tab-pane"><button>Use</button> Take one </div></section><details><summary>WARNINGS</summary>x</details>'
+    assert one(spark, accordion, lambda c: F.transform(H.traits(c), lambda t: F.concat_ws("=", t["label"], t["value"]))) == ["Warnings=Keep dry", "Use=Take one"]
+    assert one(spark, '<div class="mega-menu">a</div><ul class="x off-canvas">b</ul>', lambda c: F.transform(H.menus(c), lambda m: m["surface"])) == ["mobile", "mega_menu"]
     assert one(spark, "<nav>a</nav><header>b</header>", lambda c: F.transform(H.menus(c), lambda m: m["surface"])) == ["nav", "header"]
     assert one(spark, "x", lambda c: F.transform(H.menus(c), lambda m: m["surface"])) == ["page"]
     assert one(spark, '<button data-url="/p2">More</button>', lambda c: F.transform(H.interactive(c), lambda m: m["target"])) == ["/p2"]

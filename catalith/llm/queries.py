@@ -97,4 +97,13 @@ SELECT group_id, field_name, record_id FROM b JOIN g USING (k) WHERE n = 1
 """
 
 
-ORACLES: dict[str, str] = {"p3_found": _p3_sql()}
+P9_SQL = r"""
+WITH inv AS (SELECT '[\x{00AD}\x{034F}\x{061C}\x{115F}\x{1160}\x{17B4}\x{17B5}\x{180B}-\x{180E}\x{200B}-\x{200F}\x{202A}-\x{202E}\x{2060}-\x{206F}\x{FE00}-\x{FE0F}\x{FEFF}\x{FFF9}-\x{FFFB}\x{0000}-\x{0008}\x{000E}-\x{001F}\x{007F}]' AS p),
+d AS (SELECT doc_id, regexp_extract_all(lower(nfc_normalize(regexp_replace(text, (SELECT p FROM inv), '', 'g'))), '[\pL\pN]+') AS w FROM documents WHERE text IS NOT NULL),
+i AS (SELECT item_id, regexp_extract_all(lower(nfc_normalize(regexp_replace(text, (SELECT p FROM inv), '', 'g'))), '[\pL\pN]+') AS w FROM eval_item WHERE text IS NOT NULL),
+ig AS (SELECT DISTINCT item_id, array_to_string(w[k:k+12], ' ') AS g FROM (SELECT item_id, w, unnest(range(1, len(w) - 11)) AS k FROM i WHERE len(w) >= 13)),
+dg AS (SELECT doc_id, array_to_string(w[k:k+12], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS k FROM d WHERE len(w) >= 13))
+SELECT DISTINCT doc_id, item_id FROM dg JOIN ig USING (g)
+"""
+
+ORACLES: dict[str, str] = {"p3_found": _p3_sql(), "p9_found": P9_SQL}

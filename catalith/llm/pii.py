@@ -8,6 +8,7 @@ from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -46,6 +47,10 @@ _ENDS = (*(e.replace("\\", "") for e in _STREET_END.split("|")), "Straße", "Str
 _BEFORE_NUMBER = re.compile(r"[ \xa0]\d")
 
 
+#: Six digits close together, as every number of a kind holds, or a code of letters and digits.
+_six_digits = re.compile(r"\d(?:[^\d\n]{0,3}\d){5}|[A-Z]\d\d[\dA-Z]{6}").search
+
+
 def _numbered_street(text: str) -> bool:
     """Whether a number follows a word that ends like a street, or a word behind Am, Im and the like."""
     for m in _BEFORE_NUMBER.finditer(text):
@@ -56,27 +61,31 @@ def _numbered_street(text: str) -> bool:
     return False
 
 
-def _holding(*words: str) -> Callable[[str], bool]:
-    """A test for texts that hold one of some words."""
+def _words_of(alternatives: str, before: str = "", after: str = "") -> list[str]:
+    return [before + re.sub(r"\\\.\??$|\\", "", a) + after for a in alternatives.split("|")]
+
+
+#: Words that make a street, but for those that end in one: a text without any holds no such address.
+_STREETS = ahocorasick.Automaton()
+for _word in [*_words_of(_STREET_AFTER, " "), *_words_of(_STREET_BEFORE, after=" "), *_words_of(_STREET_NUMBERED, " ", " "), "Box ", "Postfach ", "Apartado", "postale ", "BP ", "Postbus "]:
+    _STREETS.add_word(_word, True)
+_STREETS.make_automaton()
 
-    def holds(text: str) -> bool:
-        for word in words:
-            if word in text:
-                return True
-        return False
 
-    return holds
+def _street(text: str) -> bool:
+    """Whether a text holds a word that makes a street."""
+    return next(_STREETS.iter(text), None) is not None
 
 
-#: (kind, cheap test that holds for every text with a match, None where a digit is enough, pattern).
+#: (kind, cheap test that holds for every text with a match, pattern).
 _PATTERNS = [
-    ("phone", None, re.compile(r"(?<![\w/.,-])(?:\+\d{1,3}|\(\d{2,5}\)|\d{2,5}|\d)(?:(?:[ \xa0\u202f]?\(\d{1,4}\)[ \xa0\u202f-]?|[ \xa0\u202f./-])?\d+)+(?![\w-]|[.,]\d)")),
-    ("id_number", None, re.compile(r"(?<![\w-])(?=[A-Z]{0,2}[- ]?\d)(?:\d{3}[- ]\d{2}[- ]\d{4}|[A-Z]{1,2}\d{6,9}[A-Z]?|[A-Z]{2}(?:[ ]\d{2}){3}[ ][A-Z]|\d{8}-?[A-Z]|[XYZ]-?\d{7}-?[A-Z]|[12][ ]?\d{2}[ ]?\d{2}[ ]?\d[\dAB][ ]?\d{3}[ ]?\d{3}(?:[ ]?\d{2})?|\d{2} \d{3} \d{3} \d{3}|\d{11}|\d{2,3}/\d{3}/\d{4,5}|[A-Z]{2}\d{2}(?:[ ]?[\dA-Z]{4}){3,7}(?:[ ]?[\dA-Z]{1,3})?|[A-Z]\d{2}[\dA-Z]{6}\d?|\d{3}-\d{2}-\d{2}|\d{3}[ ]\d{3}[ ]\d{3}|\d{6}[-+]\d{3,4}[A-Z]?|\d{3}\.\d{3}\.\d{3}-\d{2}|[A-Z]{4}\d{6}[A-Z\d]{3,8}|\d{4}[ ]\d{4}[ ]\d{4})(?![\w-])")),
-    ("address", None, regex.compile(rf"(?<![\w.,-]){_NO}{_GAP}(?:{_COMPASS}\.?{_GAP})?(?:(?:{_UP}|\d{{1,3}}(?:st|nd|rd|th)){_GAP}){{1,3}}(?:{_STREET_AFTER})(?!\w)(?:{_GAP}{_COMPASS}(?!\w))?(?:,?{_GAP}(?:Apt\.?|Flat|Unit|Suite|Ste\.?|No\.|Floor|\#){_GAP}?\w+)?(?:{_TAIL})?")),
+    ("phone", _six_digits, re.compile(r"(?<![\w/.,-])(?:\+\d{1,3}|\(\d{2,5}\)|\d{2,5}|\d)(?:(?:[ \xa0\u202f]?\(\d{1,4}\)[ \xa0\u202f-]?|[ \xa0\u202f./-])?\d+)+(?![\w-]|[.,]\d)")),
+    ("id_number", _six_digits, re.compile(r"(?<![\w-])(?=[A-Z]{0,2}[- ]?\d)(?:\d{3}[- ]\d{2}[- ]\d{4}|[A-Z]{1,2}\d{6,9}[A-Z]?|[A-Z]{2}(?:[ ]\d{2}){3}[ ][A-Z]|\d{8}-?[A-Z]|[XYZ]-?\d{7}-?[A-Z]|[12][ ]?\d{2}[ ]?\d{2}[ ]?\d[\dAB][ ]?\d{3}[ ]?\d{3}(?:[ ]?\d{2})?|\d{2} \d{3} \d{3} \d{3}|\d{11}|\d{2,3}/\d{3}/\d{4,5}|[A-Z]{2}\d{2}(?:[ ]?[\dA-Z]{4}){3,7}(?:[ ]?[\dA-Z]{1,3})?|[A-Z]\d{2}[\dA-Z]{6}\d?|\d{3}-\d{2}-\d{2}|\d{3}[ ]\d{3}[ ]\d{3}|\d{6}[-+]\d{3,4}[A-Z]?|\d{3}\.\d{3}\.\d{3}-\d{2}|[A-Z]{4}\d{6}[A-Z\d]{3,8}|\d{4}[ ]\d{4}[ ]\d{4})(?![\w-])")),
+    ("address", _street, regex.compile(rf"(?<![\w.,-]){_NO}{_GAP}(?:{_COMPASS}\.?{_GAP})?(?:(?:{_UP}|\d{{1,3}}(?:st|nd|rd|th)){_GAP}){{1,3}}(?:{_STREET_AFTER})(?!\w)(?:{_GAP}{_COMPASS}(?!\w))?(?:,?{_GAP}(?:Apt\.?|Flat|Unit|Suite|Ste\.?|No\.|Floor|\#){_GAP}?\w+)?(?:{_TAIL})?")),
     ("address", _numbered_street, regex.compile(rf"(?<![\w])(?:{_UP}{_GAP})?(?:\p{{Lu}}[\p{{Ll}}-]*(?:{_STREET_END})|(?:{_UP}-)+(?:Straße|Strasse|Str\.|Weg|Platz|Allee)|(?:Am|Im|An{_GAP}der|Auf{_GAP}dem|Unter{_GAP}den){_GAP}{_UP}){_GAP}{_NO}(?:{_TAIL})?")),
-    ("address", _holding(*(w.replace("\\", "") + " " for w in _STREET_BEFORE.split("|"))), regex.compile(rf"(?<![\w])(?:{_STREET_BEFORE}){_GAP}(?:{_OF}(?:{_GAP})?)?{_UP}(?:{_GAP}(?:{_OF}{_GAP})?{_UP})?,?{_GAP}(?:n[º°.]{_GAP}?)?{_NO}(?:{_TAIL})?")),
-    ("address", None, regex.compile(rf"(?<![\w]){_NO},?{_GAP}(?:{_STREET_NUMBERED}){_GAP}(?:{_OF}(?:{_GAP})?)?{_UP}(?:{_GAP}(?:{_OF}{_GAP})?{_UP})?(?:{_TAIL})?")),
-    ("address", _holding("Box ", "Postfach ", "Apartado", "postale ", "BP ", "Postbus "), regex.compile(rf"(?<![\w])(?:{_BOX}){_GAP}\d{{1,6}}(?:{_TAIL})?")),
+    ("address", _street, regex.compile(rf"(?<![\w])(?:{_STREET_BEFORE}){_GAP}(?:{_OF}(?:{_GAP})?)?{_UP}(?:{_GAP}(?:{_OF}{_GAP})?{_UP})?,?{_GAP}(?:n[º°.]{_GAP}?)?{_NO}(?:{_TAIL})?")),
+    ("address", _street, regex.compile(rf"(?<![\w]){_NO},?{_GAP}(?:{_STREET_NUMBERED}){_GAP}(?:{_OF}(?:{_GAP})?)?{_UP}(?:{_GAP}(?:{_OF}{_GAP})?{_UP})?(?:{_TAIL})?")),
+    ("address", _street, regex.compile(rf"(?<![\w])(?:{_BOX}){_GAP}\d{{1,6}}(?:{_TAIL})?")),
 ]
 _AT_BRACKETS = re.compile(r" ?[\[({<] ?(?:at|AT|ät|arroba|chez) ?[\])}>] ?")
 _AT_WORDS = re.compile(r" (?:at|AT) (?=[\w-]+ (?:dot|DOT) )")
@@ -155,6 +164,8 @@ _CUE = re.compile(r"(\w+)(?:(\.)[ \xa0]|([,:]?\s+))$")
 
 def _cued(text: str, at: int) -> bool:
     """Whether the word just before a place is a cue, with a comma, colon or line break between at most, or a title with a point."""
+    if text[at - 2 : at] in ("! ", "? ", "; ", ") ") or (text[at - 2 : at] == ". " and " " not in text[max(0, at - 8) : at - 2] and at > 8):
+        return False
     left = text[max(0, at - 20) : at].rstrip(" ,:.\r\n\t\xa0").lower()
     if left[max(left.rfind(" "), left.rfind("\n"), left.rfind("\xa0")) + 1 :] not in _ANY_CUE:
         return False
@@ -169,16 +180,19 @@ def _cued(text: str, at: int) -> bool:
     return (word in GREETINGS and not m.group(1).isupper()) or (word in ("is", "ist", "est", "es") and text[max(0, m.start() - 5) : m.start()].strip().lower() in ("name", "nom"))
 
 
+def _plain(word: str) -> bool:
+    return word not in NO_NAMES and word not in _TITLE_FORMS and not (word.isupper() and word.capitalize() in NO_NAMES)
+
+
 def _name_candidates(text: str, known: Lexicon) -> Iterator[Candidate]:
     """Runs of two to four capitalised words, also with initials or particles between them or a comma after the first, from every word on; and a single
     word after a greeting, a title or the like. Words of NO_NAMES and pairs of product words end a run."""
     words = [(m.start(), m.end(), m.group()) for m in _NAME_WORD.finditer(text)]
-    plain = [w not in NO_NAMES and w not in _TITLE_FORMS and not (w.isupper() and w.capitalize() in NO_NAMES) for _, _, w in words]
     for i, (start, end, word) in enumerate(words):
-        if not plain[i]:
-            continue
         if (i + 1 == len(words) or words[i + 1][0] - end > 12) and not _cued(text, start):
             continue
+        if not _plain(word):
+            continue
         if (start and (text[start - 1].isalnum() or text[start - 1] in "-_'’@.")):
             continue
         at, last, n = end, word, 1
@@ -187,7 +201,7 @@ def _name_candidates(text: str, known: Lexicon) -> Iterator[Candidate]:
             s, e, w = words[j]
             gap = text[at:s]
             comma = j == i + 1 and gap == ", " and len(word) > 2
-            if not plain[j] or (e < len(text) and (text[e].isalnum() or text[e] in "_@")) or n == 4:
+            if not _plain(w) or (e < len(text) and (text[e].isalnum() or text[e] in "_@")) or n == 4:
                 break
             if not comma and gap not in (" ", "\xa0", "\u202f") and not (len(gap) < 12 and gap[:1] == " " and gap[-1:] == " " and all(p in PARTICLES for p in gap.split())):
                 break
@@ -240,8 +254,11 @@ def candidates(text: str, known: Lexicon = Lexicon()) -> list[Candidate]:
     found = [*_name_candidates(text, known), *_mail_candidates(text)]
     if not _DIGIT.search(text):
         return found
+    tried: dict[Callable, object] = {}
     for kind, needs, pattern in _PATTERNS:
-        if needs is not None and not needs(text):
+        if needs not in tried:
+            tried[needs] = needs(text)
+        if not tried[needs]:
             continue
         if kind == "phone":
             found += [c for m in pattern.finditer(text) for c in _phone_candidates(m.start(), m.group())]

@@ -77,5 +77,49 @@ SELECT domain, external_id, strftime(captured_at, '%Y-%m-%d %H:%M:%S') AS valid_
 FROM starts
 """
 
+# Amounts and units as SQL: patterns of DuckDB, which looks neither ahead nor behind, so separators are doubled where both sides of a number matter.
+_B = r"[\s\x{00A0}\x{202F}]*"
+_G = r"[0-9]{1,3}(?:[.,''’\x{00A0}\x{202F}][0-9]{3})+(?:[.,][0-9]{1,2})?"
+_P = r"[0-9]+(?:[.,][0-9]+)?"
+_BEFORE = r"us\$|ca\$|au\$|a\$|c\$|[$€£¥]|usd|eur|gbp|cad|aud|chf|sek|czk|pln|jpy"
+_AFTER = r"[$€£¥¢]|kr|kč|zł|fr|euros?|usd|eur|gbp|cad|aud|chf|sek|czk|pln|jpy|cents?|ct|p"
+_WORDS = r"sale price|\bnow\b|\bnur\b|\bjetzt\b|\bahora\b|\bmaintenant\b"
+_VALUE = r"""CASE WHEN regexp_full_match({n}, '[0-9]{{1,3}}([.][0-9]{{3}})+,[0-9]+') THEN CAST(replace(replace({n}, '.', ''), ',', '.') AS DECIMAL(20,6)) WHEN regexp_full_match({n}, '[0-9]{{1,3}}(,[0-9]{{3}})+[.][0-9]+') THEN CAST(replace({n}, ',', '') AS DECIMAL(20,6))
+  WHEN regexp_full_match({n}, '[1-9][0-9]{{0,2}}([.,][0-9]{{3}})+') THEN CAST(replace(replace({n}, ',', ''), '.', '') AS DECIMAL(20,6)) ELSE CAST(replace({n}, ',', '.') AS DECIMAL(20,6)) END"""
+# doubled separators let RE2 look at both sides of a number without taking what the next one needs
+_GD = r"[0-9]{1,3}(?:(?:\.\.|,,|''''|’’|\x{00A0}\x{00A0}|\x{202F}\x{202F})[0-9]{3})+(?:(?:\.\.|,,)[0-9]{1,2})?"
+_PD = r"[0-9]+(?:(?:\.\.|,,)[0-9]+)?"
+_S = r"[\s\x{00A0}\x{202F}]"
+_CELLS = rf"(?:(?:[x×]+{_S}*10{_S}*(?:\^*{_S}*[69]|⁶⁶?|⁹⁹?)|mil{_S}+millones|billions?|bn|b|milliarden|milliards?|mrd(?:\.\.)?|millionen|millions?|mio(?:\.\.)?|millones|millón|m){_S}*)?(?:de{_S}+|d(?:''''|’’){_S}*)?(?:cfu|ufc|kbe)"
+_PLAIN = r"microgrammes?|micrograms?|microgramos?|mikrogramm|milligrammes?|milligrams?|miligramos?|milligramm|kilograms?|grammes?|grams?|gramos?|gramm|[µμ]g|mcg|ug|mg|kg|gm|gr|g|ounces?|oz|kcal|kj|joules?|j|i(?:\.\.)?u|u(?:\.\.)?i|i(?:\.\.)?e"
+P5_SQL = rf"""
+WITH ca(alias, code) AS (VALUES ('$', 'USD'), ('us$', 'USD'), ('ca$', 'CAD'), ('c$', 'CAD'), ('a$', 'AUD'), ('au$', 'AUD'), ('€', 'EUR'), ('euro', 'EUR'), ('euros', 'EUR'), ('£', 'GBP'), ('¥', 'JPY'), ('kr', 'SEK'), ('kč', 'CZK'), ('zł', 'PLN'), ('fr', 'CHF'),
+  ('usd', 'USD'), ('eur', 'EUR'), ('gbp', 'GBP'), ('cad', 'CAD'), ('aud', 'AUD'), ('chf', 'CHF'), ('sek', 'SEK'), ('czk', 'CZK'), ('pln', 'PLN'), ('jpy', 'JPY'), ('p', 'GBP'), ('¢', 'USD')),
+p0 AS (SELECT output_id, regexp_replace(regexp_replace(domain, '^\s+|\s+$', '', 'g'), '^(?i:www[.])', '') AS site, lower(price) AS low, regexp_replace(lower(trim(replace(currency, chr(160), ' '))), '[.]$', '') AS field FROM enrich_product_output WHERE regexp_matches(price, '[0-9]')),
+p1 AS (SELECT *, regexp_replace(low, '(?s)^.*?(?:{_WORDS})', '') AS cut FROM p0),
+p2 AS (SELECT *, CASE WHEN regexp_matches(low, '{_WORDS}') AND regexp_matches(cut, '[0-9]') THEN cut ELSE low END AS part FROM p1),
+p3 AS (SELECT *, regexp_extract(part, '(?:^|[^\pL0-9])(?:({_G})(?:[^0-9]|$)|({_P}))', ['g', 'p']) AS m, regexp_extract(part, '^[^0-9]*?({_BEFORE}){_B}[0-9]', 1) AS bef, regexp_extract(part, '^(?:[^0-9]*[^\pL0-9])?(?:{_G}|{_P}){_B}({_AFTER})(?:[^\pL0-9]|$)', 1) AS aft FROM p2),
+p4 AS (SELECT *, regexp_replace(CASE WHEN m.g <> '' THEN m.g ELSE m.p END, '[''’\s\x{{00A0}}\x{{202F}}]', '', 'g') AS n, bef = '' AND aft IN ('p', 'cent', 'cents', 'ct', '¢') AS minor, CASE WHEN bef <> '' THEN bef ELSE aft END AS unit FROM p3),
+p5 AS (SELECT output_id, site, {_VALUE.format(n='n')} AS amount, minor, coalesce(f.code, u.code) AS code FROM p4 LEFT JOIN ca f ON f.alias = p4.field LEFT JOIN ca u ON u.alias = p4.unit WHERE n <> ''),
+usual AS (SELECT site, arg_min(code, struct_pack(n := -n, c := code)) AS code FROM (SELECT lower(site) AS site, code, count(*) AS n FROM p5 WHERE site IS NOT NULL AND code IS NOT NULL GROUP BY 1, 2) GROUP BY 1),
+prices AS (SELECT output_id, CAST(round(CAST(amount AS DECIMAL(18,4)) * usd_per_unit * 100 / CASE WHEN minor THEN 10 ** minor_digits ELSE 1 END, 0) AS BIGINT) AS quantity FROM p5 LEFT JOIN usual ON usual.site = lower(p5.site) JOIN currency_rate ON upper(trim(currency_code)) = coalesce(p5.code, usual.code)),
+ua(alias, unit) AS (VALUES ('ug', 'ug'), ('µg', 'ug'), ('μg', 'ug'), ('mcg', 'ug'), ('microgram', 'ug'), ('micrograms', 'ug'), ('microgramme', 'ug'), ('microgrammes', 'ug'), ('microgramo', 'ug'), ('microgramos', 'ug'), ('mikrogramm', 'ug'), ('mg', 'mg'), ('milligram', 'mg'), ('milligrams', 'mg'), ('milligramme', 'mg'), ('milligrammes', 'mg'), ('miligramo', 'mg'), ('miligramos', 'mg'), ('milligramm', 'mg'),
+  ('g', 'g'), ('gm', 'g'), ('gr', 'g'), ('gram', 'g'), ('grams', 'g'), ('gramme', 'g'), ('grammes', 'g'), ('gramo', 'g'), ('gramos', 'g'), ('gramm', 'g'), ('kg', 'kg'), ('kilogram', 'kg'), ('kilograms', 'kg'), ('oz', 'oz'), ('ounce', 'oz'), ('ounces', 'oz'), ('iu', 'iu'), ('ui', 'iu'), ('ie', 'iu'), ('kcal', 'kcal'), ('kj', 'kj'), ('j', 'j'), ('joule', 'j'), ('joules', 'j'),
+  (' cfu', 'cfu'), ('million cfu', 'million cfu'), ('millions cfu', 'million cfu'), ('millionen cfu', 'million cfu'), ('mio cfu', 'million cfu'), ('millón cfu', 'million cfu'), ('millones cfu', 'million cfu'), ('m cfu', 'million cfu'), ('x10^6 cfu', 'million cfu'), ('billion cfu', 'billion cfu'), ('billions cfu', 'billion cfu'), ('b cfu', 'billion cfu'), ('bn cfu', 'billion cfu'), ('milliard cfu', 'billion cfu'), ('milliards cfu', 'billion cfu'), ('milliarden cfu', 'billion cfu'), ('mrd cfu', 'billion cfu'), ('milmillones cfu', 'billion cfu'), ('x10^9 cfu', 'billion cfu')),
+s0 AS (SELECT record_id, unnest(regexp_split_to_array(lower(fields.supplement_facts), '[\n\r;•]')) AS seg, generate_subscripts(regexp_split_to_array(lower(fields.supplement_facts), '[\n\r;•]'), 1) AS sno FROM crawl WHERE regexp_matches(fields.supplement_facts, '[0-9]')),
+sub AS (SELECT DISTINCT substance FROM unit_reference WHERE substance IS NOT NULL),
+s1 AS (SELECT record_id, sno, (SELECT arg_max(substance, len(substance)) FROM sub WHERE regexp_matches(regexp_replace(seg, 'vitamin[ae]\b', 'vitamin', 'g'), '(^|[^\pL])' || replace(lower(substance), ' ', '[\s\x{{00A0}}]*') || '([^\pL0-9]|$)')) AS substance,
+  regexp_extract_all(regexp_replace(seg, '([^\pL0-9])', '\1\1', 'g'), '(?:^|[^\pL0-9])((?:{_GD}|{_PD}){_S}*(?:{_CELLS}|{_PLAIN}))(?:[^\pL0-9]|$)', 1) AS ms FROM s0),
+s2 AS (SELECT record_id, sno, substance, unnest(ms) AS m, generate_subscripts(ms, 1) AS mno FROM s1),
+s3 AS (SELECT *, regexp_extract(m, '^(?:{_GD}|{_PD})', 0) AS d FROM s2),
+s4 AS (SELECT *, regexp_replace(replace(replace(d, '..', '.'), ',,', ','), '[''’\s\x{{00A0}}\x{{202F}}]', '', 'g') AS n, regexp_replace(regexp_replace(substr(m, len(d) + 1), '\b(de[\s\x{{00A0}}\x{{202F}}]+|d(?:''''|’’)[\s\x{{00A0}}\x{{202F}}]*)(cfu|ufc|kbe)', '\2'), '[\s.''’\x{{00A0}}\x{{202F}}]', '', 'g') AS u0 FROM s3),
+s5 AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(regexp_replace(u0, '^[x×]+10\^*([69])', 'x10^\1'), '^[x×]+10⁶+', 'x10^6'), '^[x×]+10⁹+', 'x10^9'), '(cfu|ufc|kbe)$', ' cfu') AS u FROM s4),
+s6 AS (SELECT s5.*, ua.unit, (SELECT bool_and(r.substance IS NOT NULL) FROM unit_reference r WHERE lower(r.unit) = ua.unit) AS bound FROM s5 JOIN ua ON ua.alias = s5.u),
+s7 AS (SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY sno, mno) AS item_no FROM s6 WHERE NOT bound OR substance IS NOT NULL),
+facts AS (SELECT record_id, item_no, CAST(round({_VALUE.format(n='n')} * base_per_unit, 0) AS BIGINT) AS quantity, CASE dimension WHEN 'mass' THEN 'ug' WHEN 'energy' THEN 'joule' ELSE 'cfu' END AS unit
+  FROM s7 JOIN unit_reference r ON lower(r.unit) = s7.unit AND coalesce(r.substance, '') = CASE WHEN bound THEN s7.substance ELSE '' END)
+SELECT 'price' AS row_kind, output_id AS row_id, CAST(1 AS INTEGER) AS item_no, quantity, 'usd_cent' AS unit FROM prices UNION ALL SELECT 'facts', record_id, CAST(item_no AS INTEGER), quantity, unit FROM facts
+"""
+
 QUERIES = {"p1_found": p1_found, "p5_found": p5_found, "p7_found": p7_found}
-ORACLES: dict[str, str] = {"p1_found": P1_SQL}
+ORACLES: dict[str, str] = {"p1_found": P1_SQL, "p5_found": P5_SQL}

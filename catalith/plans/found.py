@@ -121,5 +121,28 @@ facts AS (SELECT record_id, item_no, CAST(round({_VALUE.format(n='n')} * base_pe
 SELECT 'price' AS row_kind, output_id AS row_id, CAST(1 AS INTEGER) AS item_no, quantity, 'usd_cent' AS unit FROM prices UNION ALL SELECT 'facts', record_id, CAST(item_no AS INTEGER), quantity, unit FROM facts
 """
 
+P7_SQL = r"""
+WITH RECURSIVE u(raw_id, j) AS (
+  SELECT raw_id, regexp_replace(payload, '^[\x{FEFF}\s]+', '') FROM raw_record WHERE payload IS NOT NULL
+  UNION ALL
+  SELECT raw_id, CASE t WHEN 'VARCHAR' THEN regexp_replace(json_extract_string(j, '$'), '^[\x{FEFF}\s]+', '') ELSE CAST(json_extract(j, '$[0]') AS VARCHAR) END
+  FROM (SELECT raw_id, j, CASE WHEN json_valid(j) THEN json_type(j) END AS t FROM u) x WHERE t = 'VARCHAR' OR (t = 'ARRAY' AND CASE WHEN json_valid(j) THEN json_array_length(j) END = 1)
+), o AS (SELECT raw_id, CASE WHEN json_valid(j) THEN CAST(j AS JSON) END AS j FROM u),
+r AS (SELECT raw_id, j FROM o WHERE json_type(j) = 'OBJECT' AND len(json_keys(j)) > 0),
+h AS (SELECT raw_id, j AS holder FROM r UNION ALL SELECT raw_id, json_extract(j, '$.fields') FROM r WHERE json_type(j, '$.fields') = 'OBJECT'),
+k(child, a, b) AS (VALUES ('main_ingredients', '$.main_ingredients', '$.mainIngredients'), ('images', '$.images', '$.images'), ('variants', '$.variants', '$.variants'), ('variant_options', '$.variant_options', '$.variantOptions')),
+v AS (SELECT raw_id, child, CASE WHEN coalesce(json_type(holder, a), 'NULL') <> 'NULL' THEN json_extract(holder, a) WHEN coalesce(json_type(holder, b), 'NULL') <> 'NULL' THEN json_extract(holder, b) END AS val FROM h, k),
+e AS (SELECT raw_id, child, unnest(es) AS entry, generate_subscripts(es, 1) - 1 AS item_no FROM (SELECT raw_id, child, CASE json_type(val) WHEN 'ARRAY' THEN json_extract(val, '$[*]')
+  WHEN 'OBJECT' THEN CASE WHEN child = 'variant_options' AND NOT list_has_any(json_keys(val), ['name', 'label', 'value', 'selected', 'position']) THEN list_transform(json_keys(val), lambda x: json_object('name', x)) ELSE [val] END ELSE [val] END AS es FROM v WHERE val IS NOT NULL)),
+w AS (SELECT raw_id, item_no AS parent_no, CASE WHEN coalesce(json_type(entry, '$.variant_options'), 'NULL') <> 'NULL' THEN json_extract(entry, '$.variant_options') WHEN coalesce(json_type(entry, '$.variantOptions'), 'NULL') <> 'NULL' THEN json_extract(entry, '$.variantOptions') END AS val FROM e WHERE child = 'variants' AND json_type(entry) = 'OBJECT'),
+n AS (SELECT raw_id, parent_no, unnest(es) AS entry, generate_subscripts(es, 1) - 1 AS item_no FROM (SELECT raw_id, parent_no, CASE json_type(val) WHEN 'ARRAY' THEN json_extract(val, '$[*]')
+  WHEN 'OBJECT' THEN CASE WHEN NOT list_has_any(json_keys(val), ['name', 'label', 'value', 'selected', 'position']) THEN list_transform(json_keys(val), lambda x: json_object('name', x)) ELSE [val] END ELSE [val] END AS es FROM w WHERE val IS NOT NULL)),
+c AS (SELECT raw_id, child, -1 AS parent_no, item_no, entry FROM e UNION ALL SELECT raw_id, 'variant_options', parent_no, item_no, entry FROM n),
+l AS (SELECT *, CASE WHEN json_type(entry) = 'OBJECT' THEN list_filter([json_extract(entry, p1), json_extract(entry, p2)], lambda x: x IS NOT NULL AND json_type(x) NOT IN ('NULL', 'BOOLEAN', 'ARRAY', 'OBJECT') AND regexp_matches(json_extract_string(x, '$'), '[^ \t\r\n\x{00A0}\x{202F}\x{200B}\x{FEFF}]'))[1]
+  WHEN json_type(entry) NOT IN ('NULL', 'BOOLEAN', 'ARRAY') THEN entry END AS found
+  FROM c JOIN (VALUES ('main_ingredients', '$.name', '$.value'), ('images', '$.url', '$.src'), ('variants', '$.id', '$.id'), ('variant_options', '$.name', '$.label')) q(child, p1, p2) USING (child))
+SELECT raw_id, child, CAST(parent_no AS INTEGER) AS parent_no, CAST(item_no AS INTEGER) AS item_no, json_extract_string(found, '$') AS label FROM l WHERE found IS NOT NULL AND regexp_matches(json_extract_string(found, '$'), '[^ \t\r\n\x{00A0}\x{202F}\x{200B}\x{FEFF}]')
+"""
+
 QUERIES = {"p1_found": p1_found, "p5_found": p5_found, "p7_found": p7_found}
-ORACLES: dict[str, str] = {"p1_found": P1_SQL, "p5_found": P5_SQL}
+ORACLES: dict[str, str] = {"p1_found": P1_SQL, "p5_found": P5_SQL, "p7_found": P7_SQL}

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from catalith.functions import html as H
 from catalith.functions import images as I
+from catalith.functions import links as L
 from catalith.functions import urls as U
 from catalith.operators import lookups, pictures, records, sets
 from catalith.runtime import table
@@ -203,3 +204,37 @@ u AS (SELECT *, CASE WHEN host <> '' THEN scheme || '://' || host || CASE WHEN p
 SELECT record_id, concat_ws('::', url, CASE WHEN coalesce(trim(fields.sku), '') <> '' THEN 'sku:' || lower(trim(fields.sku)) END) AS identity, l AS label, CASE WHEN l = '' OR contains(lower(fields.title), lower(l)) THEN fields.title ELSE substr(fields.title || ' — ' || l, 1, 360) END AS name,
   CASE WHEN fields.form = lower(fields.form) THEN array_to_string(list_transform(string_split(array_to_string(list_transform(string_split(array_to_string(list_transform(string_split(fields.form, ' '), lambda w: upper(substr(w, 1, 1)) || substr(w, 2)), ' '), '/'), lambda w: upper(substr(w, 1, 1)) || substr(w, 2)), '/'), '-'), lambda w: upper(substr(w, 1, 1)) || substr(w, 2)), '-') ELSE fields.form END AS form FROM u
 """
+
+
+def link_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WIN-02: role and score of each record's address as a category link and as a menu entry, its form taken for the link's text."""
+    u, t, css = F.col("product_url"), F.coalesce("fields.form", F.lit("Shop All")), F.when(F.col("layer") == "http", "site-nav").otherwise("x")
+    role, kind = L.category_role(t, u), L.menu_kind(t, u)
+    return table(spark, sf_dir, "crawl").select("record_id", role.alias("role"), L.category_score(t, u, css, role).alias("score"), kind.alias("kind"), L.menu_score(t, u, css, kind).alias("menu_score"))
+
+
+def next_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WIN-04: next page of listings set up for each record: by rel, by text, by a control, by number, or none."""
+    k = F.col("record_id") % 5
+    base = F.concat(F.lit("https://"), F.lower("domain"), F.lit("/c/teas?page="), (F.col("record_id") % 7 + 1).cast("string"))
+    links = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(9)), lambda n: F.concat(F.lit('<a href="?page='), n.cast("string"), F.lit('">'), n.cast("string"), F.lit("</a>"))), " ")
+    html = F.when(k == 0, F.concat(links, F.lit('<link href="/c/teas/page/77/" rel="prefetch next">'))).when(k == 1, F.concat(F.lit("<a title='Siguiente' href='/c/teas?p=55'>+</a>"), links)).when(k == 2, F.concat(links, F.lit('<button data-url="/c/teas?page=33">Load more</button><button data-url="/c/teas?page=22">Show more</button>'))).when(k == 3, links).otherwise(F.lit('<a href="https://other.test/c?page=2">next</a><a href="/cart?page=9">next</a>'))
+    rows = table(spark, sf_dir, "crawl").filter(F.col("domain").rlike(r"^[A-Za-z0-9.-]+$")).select("record_id", base.alias("base"), html.alias("html"))
+    return rows.select("record_id", L.next_page(F.col("html"), F.col("base")).alias("next"))
+
+
+QUERIES |= {"link_roles": link_roles, "next_pages": next_pages}
+ORACLES["next_pages"] = """
+SELECT record_id, CASE record_id % 5 WHEN 0 THEN 'https://' || lower(domain) || '/c/teas/page/77/' WHEN 1 THEN 'https://' || lower(domain) || '/c/teas?p=55' WHEN 2 THEN 'https://' || lower(domain) || '/c/teas?page=22'
+  WHEN 3 THEN 'https://' || lower(domain) || '/c/teas?page=' || (record_id % 7 + 2) END AS next FROM crawl WHERE regexp_matches(domain, '^[A-Za-z0-9.-]+$')
+"""
+ORACLES["link_roles"] = """
+WITH u AS (SELECT record_id, coalesce(fields.form, 'Shop All') AS t, coalesce(layer = 'http', false) AS nav, lower(regexp_extract(trim(product_url), '^(?:[Hh][Tt][Tt][Pp][Ss]?:)?//[^/?#]*([^?#]*)', 1)) AS path, regexp_matches(trim(product_url), '(?i)^https?://[^/?#]') AS http FROM crawl),
+n AS (SELECT *, regexp_replace(regexp_replace(path, '/{2,}', '/', 'g'), '/$', '') AS bare, regexp_matches(path, '/(menu|category|categories|collection|collections|catalog|shop|store)(/|$)') AS listed FROM u),
+c AS (SELECT *, http AND bare <> '' AND CASE WHEN listed THEN regexp_matches(path, '/(product|products|produs|produit|producto)/') ELSE regexp_matches(path, '/(product|products|produs|produit|producto|produkt|item|p)/') END AS product,
+  lower(trim(t)) = 'shop all' OR regexp_matches(bare, '(/collections/(all|shop-all)|/(all-products|shop-all|products|shop|store)|/menu/shop-[0-9]+[.]html)$') AS every FROM n),
+r AS (SELECT *, NOT product AND http AND bare <> '' AND (listed OR regexp_matches(path, '/(products|produkty|produits|productos|produkte)(/|$)')) OR regexp_matches(lower(t), 'shop') AS part, len(list_filter(string_split(bare, '/'), lambda s: s <> '')) <= 3 AS short FROM c),
+k AS (SELECT *, CASE WHEN product THEN NULL WHEN every THEN 'all' WHEN part THEN 'category' END AS role, CASE WHEN every THEN 'all' WHEN product THEN 'products' WHEN part THEN 'category' ELSE 'unknown' END AS kind FROM r)
+SELECT record_id, role, CAST(CASE WHEN role IS NOT NULL THEN CASE WHEN role = 'all' THEN 100 ELSE 50 END + CASE WHEN role = 'all' AND lower(trim(t)) = 'shop all' THEN 25 ELSE 0 END + CASE WHEN short THEN 10 ELSE 0 END + CASE WHEN nav THEN 5 ELSE 0 END END AS INTEGER) AS score, kind,
+  CAST(40 + CASE kind WHEN 'all' THEN 60 WHEN 'products' THEN 25 WHEN 'category' THEN 20 ELSE 0 END + CASE WHEN short THEN 10 ELSE 0 END + CASE WHEN nav THEN 5 ELSE 0 END + CASE WHEN lower(trim(t)) = 'shop all' THEN 10 ELSE 0 END AS INTEGER) AS menu_score FROM k
+"""

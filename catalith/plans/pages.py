@@ -12,7 +12,7 @@ from catalith.functions import html as H
 from catalith.functions import images as I
 from catalith.functions import links as L
 from catalith.functions import urls as U
-from catalith.operators import lookups, pictures, records, sets
+from catalith.operators import gallery, lookups, pictures, records, sets
 from catalith.runtime import table
 
 
@@ -238,3 +238,19 @@ k AS (SELECT *, CASE WHEN product THEN NULL WHEN every THEN 'all' WHEN part THEN
 SELECT record_id, role, CAST(CASE WHEN role IS NOT NULL THEN CASE WHEN role = 'all' THEN 100 ELSE 50 END + CASE WHEN role = 'all' AND lower(trim(t)) = 'shop all' THEN 25 ELSE 0 END + CASE WHEN short THEN 10 ELSE 0 END + CASE WHEN nav THEN 5 ELSE 0 END END AS INTEGER) AS score, kind,
   CAST(40 + CASE kind WHEN 'all' THEN 60 WHEN 'products' THEN 25 WHEN 'category' THEN 20 ELSE 0 END + CASE WHEN short THEN 10 ELSE 0 END + CASE WHEN nav THEN 5 ELSE 0 END + CASE WHEN lower(trim(t)) = 'shop all' THEN 10 ELSE 0 END AS INTEGER) AS menu_score FROM k
 """
+
+
+def gallery_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IMG-06: picture candidates read from the page of each record."""
+    pages = shop_pages(table(spark, sf_dir, "crawl")).select("record_id", "product_url", "html", "fields.title")
+    found = gallery.picture_candidates(pages, "record_id", "product_url")
+    return found.select(F.col("page").alias("record_id"), "url", "source", "base")
+
+
+QUERIES |= {"gallery_candidates": gallery_candidates}
+ORACLES["gallery_candidates"] = r"""
+WITH i AS (SELECT DISTINCT record_id, CASE WHEN starts_with(trim(u), '//') THEN regexp_extract(product_url, '^([A-Za-z]+:)', 1) || trim(u) ELSE trim(u) END AS url FROM (SELECT record_id, product_url, unnest(fields.images) AS u FROM crawl))
+SELECT record_id, url, 'img_src' AS source, CAST(75 + CASE WHEN regexp_matches(lower(url), '/(cdn/shop/files|wp-content/uploads|media/catalog/product|image/cache/catalog)/') THEN 25 ELSE 0 END + CASE WHEN regexp_matches(lower(url), 'product|packshot|gallery|hero|zoom|large|master|pdp|fiche|detail') THEN 15 ELSE 0 END
+  + CASE WHEN regexp_matches(lower(url), '[?&](width|height|w|h)=([89][0-9]{2,}|[0-9]{4,})') THEN 10 ELSE 0 END + CASE WHEN regexp_matches(lower(url), '[.](png|jpe?g|webp)([?#]|$)') THEN 8 ELSE 0 END AS INTEGER) AS base
+FROM i WHERE regexp_matches(url, '^https?://') AND regexp_matches(url, '(?i)[.](jpe?g|png|webp|gif)([?#]|$)')
+"""

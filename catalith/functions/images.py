@@ -101,6 +101,10 @@ PLATFORMS = [
 ]
 
 
+#: A part of an address of every platform: other addresses are left alone without a closer look.
+_MARKS = r"(?i)/cache/|/wp-content/uploads/|//cdn\.shopify\.com[/:]|/cdn/shop/|/images/stencil/|//res\.cloudinary\.com[/:]|//ik\.imagekit\.io[/:]"
+
+
 def original(url: Column) -> Column:
     """IMG-01: struct(original, resolver, validation_group) of the untransformed picture behind a known transform of an http(s) address, null
     for other addresses; the first platform that changes the address counts. An address is rewritten segment by segment of its path."""
@@ -123,7 +127,7 @@ def original(url: Column) -> Column:
 
         return build
 
-    return F.coalesce(*[bind(F.split(path, "/"), of(p)) for p in PLATFORMS])
+    return F.when(url.rlike(_MARKS), F.coalesce(*[bind(F.split(path, "/"), of(p)) for p in PLATFORMS]))
 
 
 def proxy_target(url: Column) -> Column:
@@ -138,13 +142,21 @@ def proxy_target(url: Column) -> Column:
 
 def identity(url: Column) -> Column:
     """IMG-02: identity of a picture: proxy target, else original, else the address itself; https, without fragment."""
-    known = F.coalesce(proxy_target(url), original(url)["original"], url)
+    return _identity(url, original(url))
+
+
+def _identity(url: Column, known_original: Column) -> Column:
+    known = F.coalesce(F.when(url.contains("?"), proxy_target(url)), known_original["original"], url)
     return F.regexp_replace(F.regexp_replace(known, r"#.*$", ""), r"^(?:http:)?//", "https://")
 
 
 def preference(url: Column) -> Column:
     """IMG-03: 4 for a picture that is no transform, 2 more for https."""
-    return F.when(original(url).isNull(), 4).otherwise(0) + F.when(url.startswith("https:"), 2).otherwise(0)
+    return _preference(url, original(url))
+
+
+def _preference(url: Column, known_original: Column) -> Column:
+    return F.when(known_original.isNull(), 4).otherwise(0) + F.when(url.startswith("https:"), 2).otherwise(0)
 
 
 def width(url: Column) -> Column:
@@ -154,7 +166,7 @@ def width(url: Column) -> Column:
 
 def unique(urls: Column, rank: Column | None = None) -> Column:
     """IMG-03, IMG-04: pictures without doubles by identity, each at the place of its first, in the spelling of greatest preference (then width)."""
-    items = F.transform(F.filter(urls, lambda u: F.coalesce(F.trim(u) != "", F.lit(False))), lambda u, i: F.struct(identity(u).alias("k"), i.alias("i"), u.alias("u"), preference(u).alias("p"), width(u).alias("w")))
+    items = F.transform(F.filter(urls, lambda u: F.coalesce(F.trim(u) != "", F.lit(False))), lambda u, i: bind(original(u), lambda o: F.struct(_identity(u, o).alias("k"), i.alias("i"), u.alias("u"), _preference(u, o).alias("p"), width(u).alias("w"))))
 
     def choose(known: Column) -> Column:
         firsts = F.filter(known, lambda x, i: ~F.exists(F.slice(known, 1, i), lambda y: y["k"] == x["k"]))

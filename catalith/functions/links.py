@@ -78,20 +78,20 @@ def next_page(html: Column, base: Column) -> Column:
     opening = lambda a: F.regexp_extract(a, r"(?is)^(<\w+\s[^>]*>)", 1)
 
     def link(a: Column) -> Column:
-        at = H.attributes(opening(a))
-        said = F.concat_ws(" ", H.to_text(a), at["aria-label"], at["title"], at["class"])
-        return F.struct(U.resolved(base, at["href"]).alias("href"), F.coalesce(at["rel"], F.lit("")).alias("rel"), said.alias("said"), H.to_text(a).alias("text"))
+        said = lambda at: F.concat_ws(" ", H.to_text(a), at["aria-label"], at["title"], at["class"])
+        href = lambda at: bind(at["href"], lambda h: U.resolved(base, h))
+        return bind(H.attributes(opening(a)), lambda at: F.struct(href(at).alias("href"), F.coalesce(at["rel"], F.lit("")).alias("rel"), said(at).alias("said"), H.to_text(a).alias("text")))
 
     def usable(url: Column) -> Column:
         return F.coalesce(U.same_site(base, url) & ~U.is_rejected(url), F.lit(False))
 
     def choose(links: Column) -> Column:
-        ranked = F.transform(links, lambda x, i: F.struct(F.when(F.array_contains(F.split(F.lower(x["rel"]), r"\s+"), "next"), 100).when(_says_next(x["said"]), 90).otherwise(0).alias("score"), (-i).alias("i"), U.normalised(x["href"]).alias("href")))
+        ranked = F.transform(links, lambda x, i: F.struct(F.when(F.array_contains(F.split(F.lower(x["rel"]), r"\s+"), "next"), 100).when(_says_next(x["said"]), 90).otherwise(0).alias("score"), (-i).alias("i"), x["href"].alias("href")))
         named = F.array_max(F.filter(ranked, lambda x: x["score"] > 0))["href"]
-        numbered = F.transform(links, lambda x, i: F.struct(U.page_number(x["href"], x["text"]).alias("page"), i.alias("i"), U.normalised(x["href"]).alias("href")))
+        numbered = F.transform(links, lambda x, i: F.struct(U.page_number(x["href"], x["text"]).alias("page"), i.alias("i"), x["href"].alias("href")))
         later = F.array_min(F.filter(numbered, lambda x: x["page"] > F.coalesce(U.page_number(base), F.lit(1))))["href"]
         controls = F.transform(F.filter(H.interactive(html), lambda x: (x["tag"] != "a") & _says_next(x["text"])), lambda x: U.resolved(base, F.coalesce(F.nullif(F.regexp_extract(x["target"], r"""["'`]((?:/|https?://)[^"'`]+)""", 1), F.lit("")), x["target"])))
-        inline = F.array_min(F.transform(F.filter(controls, lambda u: usable(u) & U.page_number(u).isNotNull()), U.normalised))
-        return F.coalesce(named, inline, later)
+        inline = F.array_min(F.filter(controls, lambda u: usable(u) & U.page_number(u).isNotNull()))
+        return bind(F.coalesce(named, inline, later), U.normalised)
 
     return bind(F.filter(F.transform(anchors, link), lambda x: usable(x["href"])), choose)

@@ -130,9 +130,10 @@ def collect(page: str, base: str, title: str | None, gallery_tag: str) -> list[t
             for raw, source, score in [(wide, "srcset", PLACES["srcset"]), *((attrs.get(k), s, n) for k, s, n in ATTRIBUTES)]:
                 if raw and not better(raw):
                     add(raw, source, score, start, attrs, context)
+    low = page.lower()
     for start, end, tag, attrs in tags:
         if tag == "a":
-            close = page.lower().find("</a>", end)
+            close = low.find("</a>", end)
             inner = page[end : close if close >= 0 else end]
             if picture := re.search(r"<img\b([^>]*)>", inner, re.I):
                 attrs = {**{k: v for k, v in _attributes(picture[1]).items() if k in ("alt", "title", "aria-label")}, **attrs}

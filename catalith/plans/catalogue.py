@@ -139,7 +139,7 @@ SELECT record_id, CAST(sum(c) AS BIGINT) AS n_images, count(*) AS n_unique, stri
 def image_identities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """IMG-02, IMG-03, IMG-04: pictures of each record, how many are different, and the spelling chosen for each."""
     rows = table(spark, sf_dir, "crawl").select("record_id", F.filter("fields.images", lambda u: F.coalesce(F.trim(u) != "", F.lit(False))).alias("images"))
-    return rows.filter(F.size("images") > 0).select("record_id", F.size("images").cast("bigint").alias("n_images"), F.size(I.unique(F.col("images"))).cast("bigint").alias("n_unique"), F.array_join(I.unique(F.col("images")), " ").alias("chosen"))
+    return rows.filter(F.size("images") > 0).select("record_id", F.size("images").cast("bigint").alias("n_images"), I.unique(F.col("images")).alias("kept")).select("record_id", "n_images", F.size("kept").cast("bigint").alias("n_unique"), F.array_join("kept", " ").alias("chosen"))
 
 
 @query("SELECT output_id, substr(sha1(product_url), 1, 16) || '.jpg' AS file_name FROM enrich_product_output")

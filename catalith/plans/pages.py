@@ -32,7 +32,8 @@ def shop_pages(crawl: DataFrame) -> DataFrame:
         lit("<!-- note --><h1 class='t'>"), f["title"], lit('</h1><script>var x = "<h1>no</h1>";</script><div class="gallery">'), pictures_, lit('</div><div class="product-description"><p>'), f["description"], lit('</p></div><section class="tabs"><div class="tab-pane"><h3>Ingredients</h3><div class="panel">'), f["ingredients"],
         lit('</div></div></section><details><summary>Form</summary>'), f["form"], lit("</details><table><tr><th>Supplement Facts</th></tr><tr><td>"), f["supplement_facts"], lit('</td><td></td></tr></table><button data-url="/add/'), F.col("record_id").cast("string"), lit('">'), F.when(F.col("record_id") % 3 == 0, "Sold out").otherwise("Add to cart"), lit("</button></body></html>"),
     )
-    return crawl.select("record_id", "domain", "product_url", "layer", "captured_at", "fields", html.alias("html"))
+    # exploded from an array of one, so that the page is set up once and not again for each column read from it
+    return crawl.select("record_id", "domain", "product_url", "layer", "captured_at", "fields", F.explode(F.array(html)).alias("html"))
 
 
 def page_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,7 +221,8 @@ def next_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     links = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(9)), lambda n: F.concat(F.lit('<a href="?page='), n.cast("string"), F.lit('">'), n.cast("string"), F.lit("</a>"))), " ")
     html = F.when(k == 0, F.concat(links, F.lit('<link href="/c/teas/page/77/" rel="prefetch next">'))).when(k == 1, F.concat(F.lit("<a title='Siguiente' href='/c/teas?p=55'>+</a>"), links)).when(k == 2, F.concat(links, F.lit('<button data-url="/c/teas?page=33">Load more</button><button data-url="/c/teas?page=22">Show more</button>'))).when(k == 3, links).otherwise(F.lit('<a href="https://other.test/c?page=2">next</a><a href="/cart?page=9">next</a>'))
     rows = table(spark, sf_dir, "crawl").filter(F.col("domain").rlike(r"^[A-Za-z0-9.-]+$")).select("record_id", base.alias("base"), html.alias("html"))
-    return rows.select("record_id", L.next_page(F.col("html"), F.col("base")).alias("next"))
+    rows = rows.select("record_id", F.explode(F.array(F.struct("base", "html"))).alias("p"))
+    return rows.select("record_id", L.next_page(F.col("p.html"), F.col("p.base")).alias("next"))
 
 
 QUERIES |= {"link_roles": link_roles, "next_pages": next_pages}
